@@ -33,16 +33,16 @@ def normal_percentiles(labelled: DataFrame) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
-def _threshold(top: Column, smallest: Column, margin: float, cap: float | None) -> Column:
+def _threshold(top: Column, smallest: Column, margin: float, factor: float, cap: float | None) -> Column:
     """Widened top quantile; where that is 0, half the smallest positive value (0.01 if none)."""
     soft = half_even(F.coalesce(smallest, F.lit(0.01)) * 0.5, 4)
-    value = F.when(top == 0, soft).otherwise(half_even(top * margin, 4))
+    value = F.when(top == 0, soft).otherwise(half_even(top * margin * factor, 4))
     return F.least(value, F.lit(cap)) if cap is not None else value
 
 
 def _from_quantiles(source: DataFrame, margin: float) -> DataFrame:
     def of(column: str, factor: float = 1.0, cap: float | None = None) -> Column:
-        return _threshold(F.col(f"top_{column}"), F.col(f"min_{column}"), margin * factor, cap)
+        return _threshold(F.col(f"top_{column}"), F.col(f"min_{column}"), margin, factor, cap)
 
     return source.select(
         of("bot_ua_rate", cap=RATE_CAP).alias("bot_ua_rate"),
