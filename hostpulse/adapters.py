@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hostpulse.config import LOG_COLUMNS, RAW_HEADER
+from hostpulse.operators.labels import label_if, risk_score, union_label
+
 ROW_ORDER = ["_source_file", "_row_id"]
 
 
-def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_log(spark: SparkSession, sf_dir: str, with_kind: bool = False) -> DataFrame:
     """All-string log rows: every event once (a.csv) and every purchase delivered again (b.csv).
 
     The second delivery differs in `bytes`, so de-duplication shows which copy it kept.
@@ -39,4 +42,47 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = first.filter(F.col("_kind") == "purchase").withColumns(
         {"bytes": F.lit("7"), "_source_file": F.lit("b.csv")}
     )
-    return first.unionByName(again).drop("_kind")
+    both = first.unionByName(again)
+    return both if with_kind else both.drop("_kind")
+
+
+# Separator, written encoding and referrer per event type. The referrers are the bytes of text in
+# windows-1250, and a byte windows-1250 does not know, written one byte per character.
+DIALECTS = {
+    "click": ("\t", "UTF-8", None),
+    "view": ("\t", "UTF-8", None),
+    "purchase": (";", "UTF-8", None),
+    "error": (",", "ISO-8859-1", "żółw".encode("cp1250").decode("latin-1")),
+    "signup": ("|", "ISO-8859-1", "é\x81"),
+}
+
+
+def write_mixed_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The raw log as CSV files of four separators and three encodings in one folder."""
+    raw = raw_log(spark, sf_dir, with_kind=True)
+    for kind, (separator, encoding, referrer) in DIALECTS.items():
+        rows = raw.filter(F.col("_kind") == kind).withColumn("referrer", F.lit(referrer).cast("string"))
+        (
+            rows.select(*[F.col(c).alias(h) for c, h in zip(LOG_COLUMNS, RAW_HEADER)])
+            .write.mode("append").option("header", True).option("sep", separator).option("encoding", encoding)
+            .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .csv(folder)
+        )
+    return folder
+
+
+def stand_in_scores(features: DataFrame) -> DataFrame:
+    """Deterministic scores and labels, so that everything after the models has an exact SQL twin."""
+    req, score = F.col("req_count"), F.col("anomaly_score_if")
+    odd = (
+        (F.col("total_bytes") > 60000)
+        | ((req >= 4) & (F.col("error_5xx_rate") >= 0.5))
+        | ((req >= 4) & (F.col("unique_urls") == 1))
+        | ((F.col("bot_ua_rate") > 0) & (req >= 5))
+    )
+    raw_score = F.lit(0.3) + 0.02 * req + 0.3 * F.col("error_4xx_rate") + 0.05 * F.col("unique_ua")
+    return (
+        features.withColumn("anomaly_score_if", -F.least(F.lit(1.0), raw_score))
+        .withColumns({"label_if": label_if(score < -0.6), "label_secondary": label_if(odd), "risk_score_100": risk_score()})
+        .withColumn("label_combined", union_label())
+    )
