@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hostpulse.config import LOG_COLUMNS, RAW_HEADER
 from hostpulse.operators.labels import label_if, risk_score, union_label
+from hostpulse.session import spread_small
 
 ROW_ORDER = ["_source_file", "_row_id"]
 
@@ -15,7 +16,7 @@ def raw_log(spark: SparkSession, sf_dir: str, with_kind: bool = False) -> DataFr
 
     The second delivery differs in `bytes`, so de-duplication shows which copy it kept.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread_small(spark.read.parquet(f"{sf_dir}/events.parquet"))
     event_id, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
     plain_host = F.concat(F.lit("10.0.0."), user)
     first = events.select(

@@ -14,8 +14,13 @@ WHITE_SPACE = "".join(
 
 
 def strip(column: Column | str) -> Column:
-    """Remove Unicode white space at both ends (plain trim knows only the space)."""
-    return F.trim(F.col(column) if isinstance(column, str) else column, F.lit(WHITE_SPACE))
+    """Remove Unicode white space at both ends (plain trim knows only the space).
+
+    Nearly all values start and end with a printable ASCII character and are passed through as they are.
+    """
+    text = F.col(column) if isinstance(column, str) else column
+    clean_edges = F.substring(text, 1, 1).between("!", "~") & F.substring(text, -1, 1).between("!", "~")
+    return F.when(clean_edges, text).otherwise(F.trim(text, F.lit(WHITE_SPACE)))
 
 
 def contains_any(column: Column | str, markers: Sequence[str]) -> Column:
@@ -24,7 +29,7 @@ def contains_any(column: Column | str, markers: Sequence[str]) -> Column:
     Plain substring searches replace an alternation regex. A marker that contains another marker
     cannot add a match, so it is left out. The long s folds to s as it does in a regex.
     """
-    text = F.lower(F.translate(F.col(column) if isinstance(column, str) else column, "ſ", "s"))
+    text = F.lower(F.replace(F.col(column) if isinstance(column, str) else column, F.lit("ſ"), F.lit("s")))
     wanted = [m.lower() for m in markers]
     needed = [m for m in dict.fromkeys(wanted) if not any(o != m and o in m for o in wanted)]
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(m)) for m in needed])
@@ -36,10 +41,9 @@ def parse_time(column: Column | str, formats: Sequence[str]) -> Column:
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]).cast("timestamp_ntz")
 
 
-def lenient_int(column: Column | str, type_name: str) -> Column:
+def lenient_int(column: str, type_name: str) -> Column:
     """Whole number after stripping; anything else, or out of range, is NULL.
 
     The usual placeholders are tested first, because a failed cast is far dearer than a comparison.
     """
-    text = strip(column)
-    return F.when(~text.isin("-", ""), text.try_cast(type_name))
+    return F.when(~F.col(column).isin("-", ""), strip(column).try_cast(type_name))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from hostpulse.config import BOT_MARKERS, DEDUP_KEYS, TIME_FORMATS
 from hostpulse.functions.text import contains_any, lenient_int, parse_time, strip
@@ -39,20 +39,31 @@ def drop_invalid(typed: DataFrame) -> DataFrame:
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first by `order`.
 
-    An aggregate, not a ranking window: copies are reduced before the shuffle, so one key that
-    holds a large share of all rows never gathers in one task. The order columns are dropped.
+    The order columns must tell copies apart. An aggregate, not a ranking window: copies are reduced
+    before the shuffle, so one key that holds a large share of all rows never gathers in one task.
     """
-    kept = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*kept), F.struct(*order)).alias("_kept")
+    others = [c for c in df.columns if c not in keys and c not in order]
+    first = F.min(F.struct(*order, *others)).alias("_first")
     return (
         df.groupBy(*keys)
-        .agg(best)
-        .select(*[F.col(c) if c in keys else F.col("_kept")[c].alias(c) for c in df.columns])
+        .agg(first)
+        .select(*[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns])
     )
 
 
-def clean(raw: DataFrame, order: Sequence[str], time_formats: Sequence[str] = TIME_FORMATS) -> DataFrame:
-    """Type, filter, de-duplicate. `order` names the columns that define "first" among copies."""
-    valid = drop_invalid(type_columns(raw, time_formats))
+def clean(
+    raw: DataFrame,
+    order: Sequence[str],
+    time_formats: Sequence[str] = TIME_FORMATS,
+    counters: Observation | str = "cleaning",
+) -> DataFrame:
+    """Type, filter, de-duplicate. `order` names the columns that define "first" among copies.
+
+    Rows read and rows valid are observed on the way. Observing also keeps the filter above the
+    projection, so each value is parsed once; pushed below it, the filter would parse again.
+    """
+    observed = type_columns(raw, time_formats).observe(
+        counters, F.count(F.lit(1)).alias("rows_in"), F.count_if(is_valid()).alias("valid_rows")
+    )
     technical = [c for c in order if c != "_source_file"]
-    return keep_first(valid, DEDUP_KEYS, order).drop(*technical)
+    return keep_first(drop_invalid(observed), DEDUP_KEYS, order).drop(*technical)

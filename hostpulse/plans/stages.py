@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from hostpulse.config import DEDUP_KEYS, WINDOW_SECONDS
-from hostpulse.operators.cleaning import is_valid, keep_first, type_columns
+from hostpulse.operators.cleaning import clean, is_valid, type_columns
 from hostpulse.operators.windows import build_features
 from hostpulse.plans import eda, report
 from hostpulse.plans.scoring import fit_and_score
@@ -73,9 +73,7 @@ def run(
         write_counted(read_log_folder(spark, raw_folder), raw, rows("raw_rows"))
     if "preprocessing" in active:
         seen = Observation()
-        typed = type_columns(read_table(spark, raw))
-        valid = typed.observe(seen, rows("typed_rows"), F.count_if(is_valid()).alias("valid_rows")).filter(is_valid())
-        kept = keep_first(valid, DEDUP_KEYS, FILE_ORDER).drop("_block_start", "_row_id")
+        kept = clean(read_table(spark, raw), FILE_ORDER, counters=seen)
         write_counted(kept.sortWithinPartitions("ts"), cleaned, rows("clean_rows"))
         result.counters |= seen.get
     if "eda" in active:

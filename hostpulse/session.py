@@ -51,3 +51,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores (a table in one row group).
+
+    Larger scans are returned as they are, so this never shuffles a table that is big enough to split.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
