@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hostpulse.config import SEED, SUBSAMPLE, TREES
@@ -58,6 +59,8 @@ def sample_per_tree(df: DataFrame, keys: Sequence[str], rows: int, trees: int, p
         .filter(F.col("tree") < trees)
         .drop("_round", "_place")
     )
+    # A fixed partition number: growing is compute-bound, and sizing by bytes would put all trees in a few tasks.
+    drawn = drawn.repartition(min(trees, df.sparkSession.sparkContext.defaultParallelism), "tree")
     order = Window.partitionBy("tree").orderBy("draw", *key)
     return drawn.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= psi).drop("_rank")
 
@@ -96,19 +99,22 @@ def fit_forest(
     depth_limit = math.ceil(math.log2(max(size, 2)))
     features = list(features)
 
-    def grow_tree(sample: pd.DataFrame) -> pd.DataFrame:
-        tree = int(sample["tree"].iloc[0])
+    def grow_tree(sample: pa.Table) -> pa.Table:
+        tree = sample["tree"][0].as_py()
         if len(sample) != size:
             raise ValueError(f"tree {tree} drew {len(sample)} of {size} rows; use another seed")
-        x = sample.sort_values(["draw", *features])[features].to_numpy(dtype=float)
-        grown = _grow(x, np.random.default_rng([seed, tree]), depth_limit)
-        table = pd.DataFrame(grown, columns=["node", "feature", "threshold", "left", "right", "depth", "n"])
-        table.insert(0, "tree", tree)
-        return table
+        columns = [sample[c].to_numpy() for c in features]
+        x = np.column_stack(columns)[np.lexsort([*columns, sample["draw"].to_numpy()])]
+        grown = zip(*_grow(x, np.random.default_rng([seed, tree]), depth_limit))
+        node, feature, threshold, left, right, depth, n = grown
+        return pa.table([
+            pa.array([tree] * len(node), pa.int32()), *[pa.array(v, pa.int32()) for v in (node, feature)],
+            pa.array(threshold, pa.float64()), *[pa.array(v, pa.int32()) for v in (left, right, depth)], pa.array(n, pa.int64()),
+        ], names=["tree", "node", "feature", "threshold", "left", "right", "depth", "n"])
 
     wanted = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features if c not in keys])
     sample = sample_per_tree(wanted, keys, rows, trees, size, seed).select("tree", "draw", *features)
-    nodes = sample.groupBy("tree").applyInPandas(grow_tree, NODE_SCHEMA).toPandas()
+    nodes = sample.groupBy("tree").applyInArrow(grow_tree, NODE_SCHEMA).toPandas()
     if nodes["tree"].nunique() != trees:
         raise ValueError("a tree drew no rows; use another seed")
     return Forest(nodes, size, trees, seed)
@@ -122,17 +128,12 @@ def average_path(n: np.ndarray | int) -> np.ndarray:
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, long))
 
 
-@dataclass(frozen=True)
-class _Lookup:
-    """Complete binary trees in heap order: a leaf is carried down its left side to the last level."""
-
-    feature: np.ndarray
-    threshold: np.ndarray
-    length: np.ndarray
-    levels: int
+def complete_trees(forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature and threshold per inner node and path length per last-level node, in heap order.
 
-
-def _lookup(forest: Forest) -> _Lookup:
+    All trees become complete binary trees: a leaf is carried down its left side to the last level.
+    Plain arrays, because they are broadcast.
+    """
     levels = int(forest.nodes["depth"].max())
     inner, last = 2**levels - 1, 2**levels
     feature = np.zeros((forest.trees, inner), dtype=np.intp)
@@ -144,18 +145,19 @@ def _lookup(forest: Forest) -> _Lookup:
     leaves = forest.nodes[forest.nodes["feature"] < 0]
     lowest = (leaves["node"].to_numpy() + 1) * 2 ** (levels - leaves["depth"].to_numpy()) - 1 - inner
     length[leaves["tree"].to_numpy(), lowest] = leaves["depth"].to_numpy() + average_path(leaves["n"].to_numpy())
-    return _Lookup(feature, threshold, length, levels)
+    return feature, threshold, length
 
 
-def path_lengths(lookup: _Lookup, x: np.ndarray) -> np.ndarray:
+def path_lengths(trees: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray) -> np.ndarray:
     """Path length per tree and row, shape (trees, rows), walking all rows of a batch at once."""
     rows = len(x)
     flat = np.ascontiguousarray(x.T).ravel()
     offset = np.arange(rows)
-    lengths = np.empty((len(lookup.feature), rows))
-    for t, (feature, threshold, length) in enumerate(zip(lookup.feature * rows, lookup.threshold, lookup.length)):
+    lengths = np.empty((len(trees[0]), rows))
+    levels = trees[2].shape[1].bit_length() - 1
+    for t, (feature, threshold, length) in enumerate(zip(trees[0] * rows, *trees[1:])):
         node = np.zeros(rows, dtype=np.intp)
-        for _ in range(lookup.levels):
+        for _ in range(levels):
             node = 2 * node + 1 + (flat[feature[node] + offset] > threshold[node])
         lengths[t] = length[node - len(feature)]
     return lengths
@@ -170,7 +172,7 @@ def add_scores(
     """
     wanted = {name: forest.trees, **(prefixes or {})}
     normaliser = float(average_path(forest.psi)) or 1.0
-    shared = df.sparkSession.sparkContext.broadcast(_lookup(forest))
+    shared = df.sparkSession.sparkContext.broadcast(complete_trees(forest))
     fields = ", ".join(f"{n} double" for n in wanted)
 
     @F.pandas_udf(fields)

@@ -81,6 +81,9 @@ def fit_ocsvm(
     sharded = df.select(*[F.col(c).cast("double").alias(c) for c in features], hashed.alias("draw")).withColumn(
         "shard", F.pmod(F.col("draw"), F.lit(shards)).cast("int")
     )
+    # Compute-bound shards: one task each while they are few, then up to 32 (some 100 MB) per task.
+    tasks = min(shards, max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(shards / 32)))
+    sharded = sharded.repartition(tasks, "shard")
     schema = ", ".join([*[f"`{c}` double" for c in features], "nu double", "rho double", "n long"])
     solved = sharded.groupBy("shard").applyInPandas(solve, schema)
     weighted = [(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in [*features, "rho"]]

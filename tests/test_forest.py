@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from hostpulse.operators.forest import Forest, _lookup, add_scores, average_path, fit_forest, path_lengths, sample_per_tree
+from hostpulse.operators.forest import Forest, add_scores, average_path, complete_trees, fit_forest, path_lengths, sample_per_tree
 
 COLUMNS = ["a", "b", "c"]
 
@@ -61,7 +61,7 @@ def test_path_lengths_by_hand():
         columns=["tree", "node", "feature", "threshold", "left", "right", "depth", "n"],
     )
     x = np.array([[0.5, 99.0], [0.6, 10.0], [0.6, 10.1]])
-    assert path_lengths(_lookup(Forest(nodes, 4, 1, 0)), x).tolist() == [[1.0, 3.0, 2.0]]
+    assert path_lengths(complete_trees(Forest(nodes, 4, 1, 0)), x).tolist() == [[1.0, 3.0, 2.0]]
 
 
 def test_node_table_matches_its_samples(spark):
