@@ -1,3 +1,4 @@
+import statistics
 from datetime import datetime
 
 import pytest
@@ -45,3 +46,18 @@ def test_a_flooded_window_is_combined_before_each_shuffle(spark):
     assert (row.req_count, row.unique_urls, row.unique_ua) == (2000, 7, 3)
     plan = built._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_") >= 2
+
+
+@pytest.mark.parametrize("sizes", [
+    [12_345_678] * 300, [2**31 - d for d in range(4)], [0, 0], [7, None, 9], [None, None], [5, 2**31, 2**31 - 1],
+    [10**12 + d for d in (0, 1, 2)], [9_000_000_000_000_000_000, 1], [4 * 10**18, 4 * 10**18 + 1024],
+])
+def test_deviation_is_exact_where_floats_cancel(spark, sizes):
+    rows = [("h", datetime(2018, 2, 5), f"/{i % 4}", "u", 200, b, 0) for i, b in enumerate(sizes)]
+    (row,) = windows(spark, rows)
+    known = [b for b in sizes if b is not None]
+    expected = statistics.stdev(known) if len(known) > 1 else 0.0
+    wide = max(known, default=0) > 2**31
+    assert row.bytes_std == pytest.approx(expected, rel=1e-12, abs=1e-7 * max(known) if wide else 1e-9)
+    assert row.avg_bytes == pytest.approx(statistics.mean(known) if known else 0.0)
+    assert row.total_bytes == sum(known)
