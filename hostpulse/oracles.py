@@ -217,3 +217,15 @@ ORACLES["csv_dialects"] = f"""with {RAW}
     select case kind when 'error' then ',' when 'purchase' then ';' when 'signup' then '|' else chr(9) end as separator,
       case kind when 'error' then 'windows-1250' when 'signup' then 'latin-1' else 'utf-8' end as encoding,
       count(*) as rows from raw group by all"""
+_E = [f"e{i}" for i in range(9)]
+ORACLES["dbscan_clusters"] = f"""with recursive
+    x as (select vec_id, {", ".join(f"embedding[{i + 1}]::double as e{i}" for i in range(9))} from embeddings),
+    z as (select vec_id, {", ".join(f"({c} - (select avg({c}) from x)) / (select stddev_pop({c}) from x) as {c}" for c in _E)} from x),
+    near as materialized (select a.vec_id as id, b.vec_id as other from z a, z b
+      where {" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _E)} <= 4),
+    core as materialized (select id from near group by id having count(*) >= 5),
+    edge as materialized (select id, other from near where id in (select id from core) and other in (select id from core)),
+    reach(id, other) as (select id, other from edge union select r.id, e.other from reach r join edge e on r.other = e.id),
+    label as (select id, min(other) as cluster from reach group by id)
+    select x.vec_id, coalesce(min(label.cluster), -1) as cluster
+    from x join near on near.id = x.vec_id left join label on label.id = near.other group by x.vec_id"""
