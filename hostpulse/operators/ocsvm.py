@@ -19,7 +19,9 @@ from hostpulse.config import SEED
 SHARD_ROWS = 50_000
 MIN_SHARDS = 8
 EPOCHS = 10
-BATCH = 32
+# Mini-batches are small while a shard is, and grow with it so that a shard takes about this many steps.
+MIN_BATCH = 32
+STEPS = 4000
 
 
 def _descend(x: np.ndarray, nus: np.ndarray, epochs: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -32,10 +34,11 @@ def _descend(x: np.ndarray, nus: np.ndarray, epochs: int, rng: np.random.Generat
     weights, offset = np.zeros((len(nus), x.shape[1])), np.zeros(len(nus))
     mean_weights, mean_offset, kept = np.zeros_like(weights), np.zeros_like(offset), 0
     taken = 0
+    batch = max(MIN_BATCH, len(x) * epochs // STEPS)
     for epoch in range(epochs):
-        order = rng.permutation(len(x))
-        for begin in range(0, len(x), BATCH):
-            part = x[order[begin : begin + BATCH]]
+        shuffled = x[rng.permutation(len(x))]
+        for begin in range(0, len(x), batch):
+            part = shuffled[begin : begin + batch]
             step = 1 / (nus * (start + taken))
             below = (part @ weights.T < offset) / len(part)
             weights = weights * (1 - step * nus)[:, None] + step[:, None] * (below.T @ part)

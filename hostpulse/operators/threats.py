@@ -20,17 +20,27 @@ def normal_rows(labelled: DataFrame) -> DataFrame:
     return labelled.filter(F.col("label_combined") == 1)
 
 
-def normal_percentiles(labelled: DataFrame) -> DataFrame:
-    """p50/p90/p99/p99.9 of the four rule features over normal rows: one row per feature."""
-    wide = normal_rows(labelled).agg(*[
-        F.percentile(F.col(c), F.array(*[F.lit(q) for q in PROFILE_QUANTILES])).alias(c) for c in THRESHOLD_COLUMNS
-    ])
+def normal_percentiles(
+    labelled: DataFrame, rows: int | None = None, one_pass_rows: int = ONE_PASS_ROWS
+) -> DataFrame:
+    """p50/p90/p99/p99.9 of the four rule features over normal rows: one row per feature.
+
+    `rows` works as in `thresholds`: without it one lazy aggregate, beyond the limit counting passes.
+    """
+    normal = normal_rows(labelled)
+    if rows is None or rows <= one_pass_rows:
+        levels = F.array(*[F.lit(q) for q in PROFILE_QUANTILES])
+        wide = normal.agg(*[F.percentile(F.col(c), levels).alias(c) for c in THRESHOLD_COLUMNS])
+    else:
+        found = quantiles(normal, {c: PROFILE_QUANTILES for c in THRESHOLD_COLUMNS}, rows, one_pass_rows)
+        values = [F.array(*[F.lit(v).cast("double") for v in found[c]]).alias(c) for c in THRESHOLD_COLUMNS]
+        wide = labelled.sparkSession.range(1).select(*values)
     names = ["p50", "p90", "p99", "p99_9"]
-    rows = F.array(*[
+    rows_out = F.array(*[
         F.struct(F.lit(c).alias("feature"), *[F.col(c)[i].alias(n) for i, n in enumerate(names)])
         for c in THRESHOLD_COLUMNS
     ])
-    return wide.select(F.inline(rows))
+    return wide.select(F.inline(rows_out))
 
 
 def _threshold(top: Column, smallest: Column, margin: float, factor: float, cap: float | None) -> Column:

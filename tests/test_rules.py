@@ -1,7 +1,7 @@
 from hostpulse.config import BOT, FLOOD, HIGH_VOLUME, LOW_VOLUME, NORMAL, SCAN, SCRAPER
 from hostpulse.operators.labels import union_label, union_vs_intersection
 from hostpulse.operators.scaling import moments, scaler_table, standardise
-from hostpulse.operators.threats import classify, thresholds
+from hostpulse.operators.threats import classify, normal_percentiles, thresholds
 from pyspark.sql import Row, functions as F
 import pytest
 
@@ -64,3 +64,12 @@ def test_scaler_uses_the_population_deviation_and_keeps_constants_finite(spark):
     for model in (fitted, fitted.first()):
         assert [tuple(r) for r in standardise(df, ["a", "b"], model).select("z_a", "z_b").collect()] == [(-1.0, 0.0), (1.0, 0.0)]
     assert sorted(tuple(r) for r in scaler_table(fitted, ["a", "b"]).collect()) == [("a", 2.0, 1.0), ("b", 5.0, 1.0)]
+
+
+def test_percentiles_by_counting_equal_one_pass(spark):
+    df = spark.range(500).selectExpr(
+        "cast(1 as byte) as label_combined", "id % 37 as req_count", "id % 11 as unique_urls",
+        "(id % 13) / 13.0D as error_4xx_rate", "0.0D as bot_ua_rate")
+    by_counting = {tuple(r)[0]: tuple(r)[1:] for r in normal_percentiles(df, 500, one_pass_rows=10).collect()}
+    for row in normal_percentiles(df).collect():
+        assert by_counting[row.feature] == pytest.approx(tuple(row)[1:])
