@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hostpulse.llm import decontaminate, quality, sharding
+from hostpulse.llm import decontaminate, packing, quality, sharding, token_files
 from hostpulse.llm.common import table
 
 
@@ -17,6 +17,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -26,6 +32,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("contaminated", F.col("n_hit") > 0)
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.write_tokens(table(spark, sf_dir, "documents"), token_files.tokens_path(spark))
+    return token_files.digest(token_files.read_tokens(spark, path))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.ledger(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -36,7 +47,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op3_packing": op3_packing,
     "op5_decontamination": op5_decontamination,
+    "op7_token_files": op7_token_files,
     "op8_quality_rules": op8_quality_rules,
 }
 
