@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hostpulse.llm import decontaminate, packing, quality, sharding, token_files
+from hostpulse.llm import decontaminate, near_dup, packing, quality, sharding, token_files
 from hostpulse.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -48,6 +52,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_packing": op3_packing,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_decontamination": op5_decontamination,
     "op7_token_files": op7_token_files,
     "op8_quality_rules": op8_quality_rules,
