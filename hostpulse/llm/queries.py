@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hostpulse.llm import decontaminate, near_dup, packing, quality, sharding, token_files
+from hostpulse.llm import decontaminate, line_dedup, near_dup, packing, quality, sharding, token_files
 from hostpulse.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
@@ -51,6 +55,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_decontamination": op5_decontamination,
@@ -118,4 +123,22 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
     fail_bits = 0 as kept, n_lines, n_capitals, fail_bits from ledger
 """
 
-ORACLES: dict[str, str] = {"op5_decontamination": _OP5, "op8_quality_rules": _OP8}
+_OP2 = r"""
+with lines as (
+    select doc_id, source, text, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as place
+    from documents
+), worded as (
+    select * from lines where regexp_matches(line, '[^\x20\x09-\x0D]')
+), wide as (
+    select line, min(row(doc_id, place)) as f from worded group by line having count(distinct coalesce('=' || source, '')) >= 5
+), marked as (
+    select l.doc_id, l.line, l.place, w.line is not null and row(l.doc_id, l.place) <> w.f as gone,
+        regexp_matches(l.line, '[^\x20\x09-\x0D]') as worded
+    from lines l left join wide w on w.line = l.line
+)
+select doc_id, cast(count_if(worded) as bigint) as n_lines, cast(count_if(gone) as bigint) as n_removed,
+    coalesce(string_agg(line, chr(10) order by place) filter (not gone), '') as text
+from marked group by doc_id
+"""
+
+ORACLES: dict[str, str] = {"op2_line_dedup": _OP2, "op5_decontamination": _OP5, "op8_quality_rules": _OP8}
