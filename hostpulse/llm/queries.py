@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hostpulse.llm import decontaminate, line_dedup, near_dup, packing, quality, sharding, token_files
+from hostpulse.llm import decontaminate, line_dedup, near_dup, packing, quality, sharding, token_files, url_filter
 from hostpulse.llm.common import table
 
 
@@ -53,6 +53,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.fit(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_line_dedup": op2_line_dedup,
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op7_token_files": op7_token_files,
     "op8_quality_rules": op8_quality_rules,
+    "op10_url_filter": op10_url_filter,
 }
 
 _OP5 = r"""
