@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hostpulse.llm import decontaminate, line_dedup, near_dup, packing, quality, sharding, token_files, url_filter
+from hostpulse.llm import decontaminate, language_id, line_dedup, near_dup, packing, quality, sharding, token_files, url_filter
 from hostpulse.llm.common import table
 
 
@@ -40,6 +40,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("contaminated", F.col("n_hit") > 0)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.write_tokens(table(spark, sf_dir, "documents"), token_files.tokens_path(spark))
     return token_files.digest(token_files.read_tokens(spark, path))
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_decontamination": op5_decontamination,
+    "op6_language_id": op6_language_id,
     "op7_token_files": op7_token_files,
     "op8_quality_rules": op8_quality_rules,
     "op10_url_filter": op10_url_filter,
