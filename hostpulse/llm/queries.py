@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hostpulse.llm import decontaminate, language_id, line_dedup, near_dup, packing, quality, sharding, token_files, url_filter
+from hostpulse.llm import decontaminate, language_id, line_dedup, near_dup, packing, pii, quality, sharding, token_files, url_filter
 from hostpulse.llm.common import table
 
 
@@ -58,6 +58,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"), pii.train())
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.judge(pages, url_filter.fit(pages))
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_token_files": op7_token_files,
     "op8_quality_rules": op8_quality_rules,
+    "op9_personal_data": op9_personal_data,
     "op10_url_filter": op10_url_filter,
 }
 
