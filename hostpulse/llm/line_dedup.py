@@ -99,4 +99,4 @@ def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFram
     The first holder of a line keeps it, so a document that is left out has its every line elsewhere.
     """
     cleaned = dedup_lines(docs, min_sites)
-    return cleaned.where("n_lines = 0 or n_removed < n_lines").select(*docs.columns)
+    return cleaned.where("n_removed = 0 or n_removed < n_lines").select(*docs.columns)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from hostpulse.llm.common import SPACE_RUN
 
@@ -126,6 +126,10 @@ def ablation(kept: DataFrame, policy: str = CURRENT, rules: list[Rule] = RULES)
 
 
 def reject(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """The documents that pass, with their own columns: a filter over the same row, no join and no shuffle."""
+    """The documents that pass, with their own columns: a filter over the same row, no join and no shuffle.
+
+    The observed count stands between measurements and filter: pushed below them, the filter would evaluate them again and again.
+    """
     row = docs.select(F.col("doc_id"), F.col("text"), F.struct(*docs.columns).alias("_row"))
-    return ledger(row, carry=["_row"]).where(passes(policy)).select("_row.*")
+    counted = ledger(row, carry=["_row"]).observe(Observation(), F.count(F.lit(1)).alias("documents"))
+    return counted.where(passes(policy)).select("_row.*")
