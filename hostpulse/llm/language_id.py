@@ -134,7 +134,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         counts = np.bincount(inverse, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(counts)], ["lang", "gram", "n"]
+            [pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(counts)], ["lang", "gram", "n"]
         )
 
 

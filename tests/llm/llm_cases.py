@@ -17,9 +17,9 @@ ROWS = [
     (8, LONG + " tail", "en", "b"),
     (9, "   \n\t \n", "fr", "a"),
     (10, "é ß 中文   x\n\nx\nx", "de", "c"),
-    (11, "Mail a.b7@mail.example.org or +1 (017) 555-7713 4539578763621486 from 10.0.0.1", "en", "c"),
-    (12, "Mail a.b7@mail.example.org or +1 (017) 555-7713 4539578763621486 from 10.0.0.1", "en", "c"),
-    (12, "Mail a.b7@mail.example.org or +1 (017) 555-7713 4539578763621486 from 10.0.0.1", "en", "c"),
+    (11, "Mail a.b7@mail.example.org or +1 (017) 555-7713, card 4539578763621486 from 10.0.0.1", "en", "c"),
+    (12, "Mail a.b7@mail.example.org or +1 (017) 555-7713, card 4539578763621486 from 10.0.0.1", "en", "c"),
+    (12, "Mail a.b7@mail.example.org or +1 (017) 555-7713, card 4539578763621486 from 10.0.0.1", "en", "c"),
     (None, "a row without an id", None, "a"),
 ]
 
