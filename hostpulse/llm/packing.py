@@ -19,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from hostpulse.llm.tokens import encoder, small_batches, tokenizer_path
-from hostpulse.session import materialise
+from hostpulse.session import materialise, scratch_path
 
 LENGTH = 1024
 #: Rows of per-file length counts up to which they are broadcast.
 BROADCAST_ROWS = 2_000_000
+#: Row groups of the written pieces: what a writing task holds in memory.
+ROW_GROUP_BYTES = 16 << 20
 PIECES = "doc_id long, piece int, start long, length int, part int, nth long, ids binary"
 Pattern = tuple[dict[int, int], int]
 
@@ -60,8 +62,11 @@ def _pieces(path: str, size: int):
 
 def tokenized_pieces(docs: DataFrame, size: int = LENGTH, tokenizer: str | None = None) -> DataFrame:
     """Written pieces. `part` and `nth` number the pieces of one length within the task that wrote them."""
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "pieces")
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return materialise(rows.mapInArrow(_pieces(tokenizer or tokenizer_path(), size), PIECES), "pieces")
+    pieces = rows.mapInArrow(_pieces(tokenizer or tokenizer_path(), size), PIECES)
+    pieces.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    return spark.read.schema(PIECES).parquet(path)
 
 
 def _fullest(counts: list[int], order: list[int], room: int) -> dict[int, int]:
@@ -110,8 +115,8 @@ def plan_patterns(histogram: dict[int, int], size: int = LENGTH) -> list[Pattern
     return patterns
 
 
-def _segments(patterns: list[Pattern]) -> dict[int, np.ndarray]:
-    """Per length, rows (first number, pieces per sequence, first sequence, offset) in ascending order of the number."""
+def _segments(patterns: list[Pattern]) -> list[tuple[int, list[tuple[int, int, int, int]]]]:
+    """Per length, (first number, pieces per sequence, first sequence, offset) in ascending order of the number."""
     taken: dict[int, int] = {}
     rows: dict[int, list] = {}
     sequence = 0
@@ -122,26 +127,7 @@ def _segments(patterns: list[Pattern]) -> dict[int, np.ndarray]:
             taken[size] = taken.get(size, 0) + used[size] * times
             offset += size * used[size]
         sequence += times
-    return {size: np.asarray(found, np.int64) for size, found in rows.items()}
-
-
-def _place(segments: dict[int, np.ndarray]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, number = batch["length"].to_numpy(), batch["number"].to_numpy()
-            sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
-            for size in np.unique(length):
-                at, rows = np.flatnonzero(length == size), segments[int(size)]
-                found = rows[np.searchsorted(rows[:, 0], number[at], side="right") - 1]
-                past = number[at] - found[:, 0]
-                sequence[at] = found[:, 2] + past // found[:, 1]
-                offset[at] = found[:, 3] + past % found[:, 1] * size
-            kept = batch.schema.names[:-1]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch[n] for n in kept), pa.array(sequence), pa.array(offset)], names=[*kept, "sequence_id", "offset"]
-            )
-
-    return run
+    return sorted(rows.items())
 
 
 def pack(spark: SparkSession, docs: DataFrame, size: int = LENGTH, tokenizer: str | None = None) -> DataFrame:
@@ -153,7 +139,17 @@ def pack(spark: SparkSession, docs: DataFrame, size: int = LENGTH, tokenizer: st
     firsts = per_part.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     few = per_part.count() <= BROADCAST_ROWS
     numbered = pieces.join(F.broadcast(firsts) if few else firsts, ["part", "length"]).select(
-        "doc_id", "piece", "start", F.col("length").cast("long"), "ids", (F.col("first") + F.col("nth")).alias("number")
+        "doc_id", "piece", "start", "length", "ids", (F.col("first") + F.col("nth")).alias("number")
+    )
+    segments = spark.createDataFrame(
+        _segments(plan_patterns(histogram, size)),
+        "length int, segments array<struct<number:long, each:long, sequence:long, offset:long>>",
+    )  # at most one row per length
+    met = numbered.join(F.broadcast(segments), "length")
+    own = F.element_at(F.filter("segments", lambda s: s["number"] <= F.col("number")), -1)
+    met = met.select("doc_id", "piece", "start", "length", "ids", own.alias("own"), (F.col("number") - own["number"]).alias("past"))
+    return met.select(
+        "doc_id", "piece", "start", F.col("length").cast("long"), "ids",
+        (F.col("own.sequence") + F.expr("past div own.each")).alias("sequence_id"),
+        (F.col("own.offset") + F.col("past") % F.col("own.each") * F.col("length")).alias("offset"),
     )
-    schema = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
-    return numbered.mapInArrow(_place(_segments(plan_patterns(histogram, size))), schema)

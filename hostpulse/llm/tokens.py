@@ -18,8 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END = 2
-#: Pieces that a worker remembers before it starts anew.
-CACHE_PIECES = 1_200_000
+#: Pieces that a worker remembers before it drops those it met once.
+CACHE_PIECES = 800_000
 _BREAK = 198  # id of a single line break
 _HEAD = "\0"  # marks a piece that no space precedes
 # White space of Unicode other than space and line break, and the marker itself.
@@ -62,6 +62,23 @@ class Encoder:
         self.ids = np.empty(1 << 16, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         self.ends = np.zeros(1 << 12, np.int64)
         self.ends_used = 1
+        self.uses = np.zeros(0, np.int64)
+
+    def _trim(self) -> None:
+        """Keep the pieces that were met again, at most half of the room: words met once are rarely met twice."""
+        n = len(self.index)
+        keep = self.uses[:n] >= 2
+        if keep.sum() > self.most // 2:
+            keep = np.zeros(n, bool)
+            keep[np.argpartition(self.uses[:n], -(self.most // 2))[-(self.most // 2):]] = True
+        pieces, ids, ends, uses = list(self.index), self.ids, self.ends, self.uses
+        self._forget()
+        chosen = np.flatnonzero(keep)
+        for i in chosen.tolist():
+            self.index[pieces[i]] = len(self.index)
+        if len(chosen):
+            self._add([ids[ends[i]:ends[i + 1]] for i in chosen.tolist()])
+        self.uses = uses[chosen] // 2
 
     def _add(self, rows: list[np.ndarray]) -> None:
         flat = np.concatenate(rows)
@@ -97,13 +114,16 @@ class Encoder:
         ]
         parts = [(_HEAD + texts[i].replace("\n", f" \n {_HEAD}")).split(" ") for i in plain]
         if len(self.index) > self.most:
-            self._forget()
+            self._trim()
         chosen = np.fromiter(
             map(self.index.__getitem__, chain.from_iterable(parts)), np.int64, count=sum(map(len, parts))
         )
         if self.index.new:
             self._learn(self.index.new)
             self.index.new = []
+        seen = np.bincount(chosen, minlength=len(self.index))
+        seen[:len(self.uses)] += self.uses
+        self.uses = seen
         counts = np.zeros(len(texts), np.int64)
         first, length = self.ends[chosen], self.ends[chosen + 1] - self.ends[chosen]
         total = int(length.sum())
@@ -128,7 +148,7 @@ def encoder(path: str) -> Encoder:
     return kept.__dict__[path]
 
 
-def small_batches(batch: pa.RecordBatch, column: str = "text", most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def small_batches(batch: pa.RecordBatch, column: str = "text", most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of about `most` bytes of text, one row at least, that keep the working memory of a step small."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False))
     at = 0
