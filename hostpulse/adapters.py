@@ -69,6 +69,8 @@ def write_mixed_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
             .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .csv(folder)
         )
+    # Files without a usable header: a single column.
+    raw.filter(F.col("_kind") == "click").select("host").write.mode("append").option("header", True).csv(folder)
     return folder
 
 

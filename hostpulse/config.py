@@ -20,7 +20,8 @@ REPORT_COLUMNS = [
 # Time first: it has the most distinct values, so sorting by these keys rarely compares strings.
 DEDUP_KEYS = ["ts", "host", "method", "resource", "status"]
 SEPARATORS = ["\t", ",", ";", "|"]
-TIME_FORMATS = ["dd/MMM/yyyy HH:mm:ss"]
+# One or two digits each for day, hour, minute and second.
+TIME_FORMATS = ["d/MMM/yyyy H:m:s"]
 # Case-insensitive markers of non-human user agents.
 BOT_MARKERS = [
     "bot", "crawler", "spider", "scraper", "python", "curl", "wget", "java/", "go-http", "httpclient",
@@ -36,7 +37,7 @@ SCRAPER = "web scraper (content theft)"
 HIGH_VOLUME = "high-volume anomaly"
 LOW_VOLUME = "low-volume anomaly (needs manual review)"
 
-# --- default parameters ---
+# --- fixed values: default parameters users already rely on ---
 WINDOW_SECONDS = 60
 TREES = 200
 SWEEP_TREES = 100
@@ -46,8 +47,13 @@ SWEEP = [0.01, 0.03, 0.05, 0.07, 0.10]
 SEED = 42
 DBSCAN_EPS = 0.8
 DBSCAN_MIN_POINTS = 5
-DBSCAN_MAX_ROWS = 20_000
 THRESHOLD_QUANTILE = 0.999
 THRESHOLD_MARGIN = 1.25
 HIGH_VOLUME_FACTOR = 0.6
 RATE_CAP = 0.9
+# A top quantile of 0 gives half the smallest positive value, or half of this if there is none.
+SMALLEST_POSITIVE = 0.01
+FLOOD_URL_RATIO = 0.05
+SCRAPER_URL_RATIO = 0.6
+# Label of the second detector.
+SECONDARIES = ["ocsvm", "dbscan"]

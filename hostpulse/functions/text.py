@@ -36,9 +36,13 @@ def contains_any(column: Column | str, markers: Sequence[str]) -> Column:
 
 
 def parse_time(column: Column | str, formats: Sequence[str]) -> Column:
-    """First format that parses, as a zone-less timestamp; NULL if none does. Needs a UTC session."""
-    text = strip(column)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    """First format that parses, as a zone-less timestamp; NULL if none does.
+
+    The text is read as UTC and the instant counted from a zone-less epoch, so the session's zone has no say.
+    """
+    text = F.concat(strip(column), F.lit(" +0000"))
+    instant = F.coalesce(*[F.try_to_timestamp(text, F.lit(f"{f} Z")) for f in formats])
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
 def lenient_int(column: str, type_name: str) -> Column:

@@ -1,87 +1,135 @@
-"""DBSCAN for inputs of a checked size (larger ones use the linear one-class SVM instead)."""
+"""DBSCAN at any size: distinct points meet in grid cells, and neighbours are counted inside tasks.
+
+Equal vectors are one point with a weight. A point can only have neighbours in its own and the adjacent cells of a grid that is
+eps wide along the columns with the widest range, so points meet by an equi-join on cells. Crowded cells are cut into blocks of a
+bounded number of points, and every pair of blocks is a task's work. No pair of neighbours is written: tasks return a weight
+per point, a spanning forest of the links they saw, or a smallest label per point, each combined by an aggregate afterwards.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from hostpulse.config import DBSCAN_EPS, DBSCAN_MAX_ROWS, DBSCAN_MIN_POINTS
+from hostpulse.config import DBSCAN_EPS, DBSCAN_MIN_POINTS
+from hostpulse.operators.components import components
 from hostpulse.session import materialise
 
-BLOCK = 256
-
-
-def _distinct_points(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Equal vectors share every label, so they collapse to one point with a weight."""
-    return df.groupBy(*features).agg(F.count(F.lit(1)).alias("weight"))
+#: Points of one side of a block pair, and columns that make up the grid.
+BLOCK_POINTS = 1_000
+GRID_COLUMNS = 3
+_ROWS_AT_ONCE = 256
 
 
-def _near(x: np.ndarray, others: np.ndarray, eps: float):
-    """Yield (slice, boolean matrix) of "within eps", a block of rows at a time."""
-    for start in range(0, len(x), BLOCK):
-        part = slice(start, start + BLOCK)
-        squared = np.zeros((len(x[part]), len(others)))
-        for column, other in zip(x[part].T, others.T):
-            squared += (column[:, None] - other[None, :]) ** 2
-        yield part, squared <= eps * eps
+def _grid(points: DataFrame, features: Sequence[str], eps: float) -> list[str]:
+    """The columns with the widest ranges, if they span more than one cell."""
+    edges = points.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in features]).first()
+    cells = {c: (edges[c]["high"] - edges[c]["low"]) / eps for c in features if edges[c]["low"] is not None}
+    return sorted((c for c in cells if cells[c] > 1), key=lambda c: (-cells[c], c))[:GRID_COLUMNS]
 
 
-def _checked(points: DataFrame, max_rows: int) -> pd.DataFrame:
-    """The points themselves: what is broadcast below is bounded by max_rows."""
-    local = points.limit(max_rows + 1).toPandas()
-    if len(local) > max_rows:
-        raise ValueError(f"DBSCAN takes at most {max_rows} rows; use the one-class SVM for more")
-    return local
-
+def _meet(
+    homes: DataFrame, others: DataFrame, features: Sequence[str], grid: Sequence[str], eps: float, block_points: int,
+    solve: Callable[[pd.DataFrame, pd.DataFrame, list], list[tuple]], schema: str,
+) -> DataFrame:
+    """Apply `solve(home block, other block, near)` to every pair of blocks that may hold neighbours.
 
-def _core_points(
-    df: DataFrame, features: Sequence[str], eps: float, min_points: int, max_rows: int
-) -> tuple[DataFrame, pd.DataFrame]:
-    """Distinct points with `core`, and the core points on the driver."""
+    Both inputs have `id`, the features and `value`. `near` yields (slice of home rows, boolean matrix).
+    """
     features = list(features)
-    points = materialise(_distinct_points(df, features), "points")
-    local = _checked(points, max_rows)
-    everything = df.sparkSession.sparkContext.broadcast((local[features].to_numpy(dtype=float), local["weight"].to_numpy()))
-
-    @F.pandas_udf("boolean")
-    def is_core(*columns: pd.Series) -> pd.Series:
-        others, weight = everything.value
-        x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        core = np.zeros(len(x), dtype=bool)
-        for part, near in _near(x, others, eps):
-            core[part] = near @ weight >= min_points
-        return pd.Series(core)
-
-    # Compute-bound on few rows: spread them over the cluster first.
-    spread = points.repartition(df.sparkSession.sparkContext.defaultParallelism, *features)
-    marked = materialise(spread.withColumn("core", is_core(*features)), "core")
-    return marked, marked.filter("core").drop("core").toPandas()
-
-
-def _nearest_label(df: DataFrame, features: Sequence[str], core: pd.DataFrame, labels: np.ndarray, eps: float) -> DataFrame:
-    """Add `near_label`: the smallest label among core points within eps, NULL if there is none."""
-    shared = df.sparkSession.sparkContext.broadcast((core[list(features)].to_numpy(dtype=float), labels))
-
-    @F.pandas_udf("long")
-    def nearest(*columns: pd.Series) -> pd.Series:
-        others, label = shared.value
-        x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        best = np.full(len(x), np.iinfo(np.int64).max)
-        if len(others):
-            for part, near in _near(x, others, eps):
-                best[part] = np.where(near, label[None, :], np.iinfo(np.int64).max).min(axis=1)
-        found = pd.Series(best, dtype="Int64")
-        return found.mask(best == np.iinfo(np.int64).max)
-
-    return df.withColumn("near_label", nearest(*features))
-
-
-def _attach(df: DataFrame, points: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Back from distinct points to rows; exact keys, since the points were copied from the rows."""
-    return df.join(points, on=list(features), how="left")
+    width = eps * (1 + 1e-9)  # rounding must not put two neighbours two cells apart
+    own = F.array(F.lit(0).cast("long"), *[F.floor(F.col(c) / width).cast("long") for c in grid])
+    steps = [F.array(F.lit(0).cast("long"), *[F.lit(s).cast("long") for s in step]) for step in itertools.product((-1, 0, 1), repeat=len(grid))]
+    homes = homes.withColumn("cell", own)
+    moved = others.withColumn("_own", own).withColumn("_step", F.explode(F.array(*steps)))
+    others = moved.withColumn("cell", F.zip_with("_own", "_step", lambda a, b: a + b)).drop("_own", "_step")
+
+    def blocks(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_points).cast("int").alias(name))
+
+    cells = blocks(homes, "home_blocks").join(blocks(others, "other_blocks"), "cell")
+
+    def placed(side: DataFrame, mine: str, theirs: str, role: int) -> DataFrame:
+        at = F.pmod(F.xxhash64("id"), F.col(f"{mine}_blocks")).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(f"{theirs}_blocks") - 1))
+        met = side.join(cells, "cell").withColumn(mine, at).withColumn(theirs, every)
+        return met.select("cell", "home", "other", F.lit(role).alias("role"), "id", "value", *features)
+
+    def task(block: pd.DataFrame) -> pd.DataFrame:
+        home, other = block[block["role"] == 0], block[block["role"] == 1]
+        x, y = home[features].to_numpy(float), other[features].to_numpy(float)
+
+        def near():
+            for start in range(0, len(x), _ROWS_AT_ONCE):
+                part = slice(start, start + _ROWS_AT_ONCE)
+                squared = np.zeros((len(x[part]), len(y)))
+                for a, b in zip(x[part].T, y.T):
+                    squared += (a[:, None] - b[None, :]) ** 2
+                yield part, squared <= eps * eps
+
+        found = solve(home, other, near()) if len(home) and len(other) else []
+        return pd.DataFrame(found, columns=names)
+
+    names = [field.split()[0] for field in schema.split(", ")]
+    both = placed(homes, "home", "other", 0).unionByName(placed(others, "other", "home", 1))
+    return both.groupBy("cell", "home", "other").applyInPandas(task, schema)
+
+
+def _weigh(home: pd.DataFrame, other: pd.DataFrame, near) -> list[tuple]:
+    ids, weight = home["id"].to_numpy(), other["value"].to_numpy()
+    return [(int(i), int(n)) for part, close in near for i, n in zip(ids[part], close @ weight) if n]
+
+
+def _link(home: pd.DataFrame, other: pd.DataFrame, near) -> list[tuple]:
+    """Links that join the points of a block pair: at most one fewer than its points."""
+    mine, theirs = home["id"].to_numpy(), other["id"].to_numpy()
+    root: dict[int, int] = {}
+
+    def find(p: int) -> int:
+        root.setdefault(p, p)
+        while root[p] != p:
+            root[p] = root[root[p]]
+            p = root[p]
+        return p
+
+    links = []
+    for part, close in near:
+        for i, j in zip(*np.nonzero(close)):
+            a, b = int(mine[part][i]), int(theirs[j])
+            x, y = find(a), find(b)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                links.append((a, b))
+    return links
+
+
+def _reach(home: pd.DataFrame, other: pd.DataFrame, near) -> list[tuple]:
+    ids, label = home["id"].to_numpy(), other["value"].to_numpy()
+    none = np.iinfo(np.int64).max
+    return [
+        (int(i), int(v)) for part, close in near
+        for i, v in zip(ids[part], np.where(close, label[None, :], none).min(axis=1)) if v != none
+    ]
+
+
+def _points(df: DataFrame, features: Sequence[str], key: str | None) -> DataFrame:
+    """Distinct points: id (the smallest key, or any number), weight, features. Written, so that ids stay."""
+    smallest = [F.min(key).cast("long").alias("id")] if key else []
+    grouped = df.groupBy(*features).agg(F.count(F.lit(1)).alias("weight"), *smallest)
+    if not key:
+        grouped = grouped.withColumn("id", F.monotonically_increasing_id())
+    return materialise(grouped.select("id", "weight", *features), "points")
+
+
+def _core(points: DataFrame, features: Sequence[str], grid: Sequence[str], eps: float, min_points: int, block_points: int) -> DataFrame:
+    """Written ids of the points with at least min_points rows within eps, themselves included."""
+    sides = points.select("id", F.col("weight").alias("value"), *features)
+    near = _meet(sides, sides, features, grid, eps, block_points, _weigh, "id long, n long")
+    return materialise(near.groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= min_points).select("id"), "core")
 
 
 def dbscan_noise(
@@ -89,15 +137,33 @@ def dbscan_noise(
     features: Sequence[str],
     eps: float = DBSCAN_EPS,
     min_points: int = DBSCAN_MIN_POINTS,
-    max_rows: int = DBSCAN_MAX_ROWS,
     name: str = "label_secondary",
+    block_points: int = BLOCK_POINTS,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with -1 for noise (neither core nor within eps of a core point) or 1 for any cluster;
     and the core points, with weights, as the fitted model."""
-    points, core = _core_points(df, features, eps, min_points, max_rows)
-    marked = _nearest_label(points, features, core, np.arange(len(core)), eps)
-    labelled = marked.select(*features, F.when(F.col("near_label").isNull(), -1).otherwise(1).cast("tinyint").alias(name))
-    return _attach(df, labelled, features), points.filter("core").drop("core")
+    features = list(features)
+    points = _points(df, features, None)
+    grid = _grid(points, features, eps)
+    core = points.join(_core(points, features, grid, eps, min_points, block_points), "id", "left_semi")
+    return near_core(df, core, features, eps, name, block_points), core.drop("id")
+
+
+def near_core(
+    df: DataFrame, core: DataFrame, features: Sequence[str], eps: float = DBSCAN_EPS, name: str = "label_secondary",
+    block_points: int = BLOCK_POINTS,
+) -> DataFrame:
+    """Label rows by fitted core points: 1 within eps of one, else -1. Serves new rows as well as those fitted."""
+    features = list(features)
+    points = _points(df, features, None)
+    grid = _grid(points, features, eps)
+    homes = points.select("id", F.lit(0).cast("long").alias("value"), *features)
+    others = core.select(F.xxhash64(*features).alias("id"), F.lit(1).cast("long").alias("value"), *features)
+    reached = _meet(homes, others, features, grid, eps, block_points, _reach, "id long, label long").select("id").distinct()
+    marked = points.join(reached.withColumn("_in", F.lit(True)), "id", "left").select(
+        *features, F.when(F.col("_in"), 1).otherwise(-1).cast("tinyint").alias(name)
+    )
+    return df.join(marked, on=features, how="left")
 
 
 def dbscan_clusters(
@@ -106,30 +172,25 @@ def dbscan_clusters(
     key: str,
     eps: float = DBSCAN_EPS,
     min_points: int = DBSCAN_MIN_POINTS,
-    max_rows: int = DBSCAN_MAX_ROWS,
+    block_points: int = BLOCK_POINTS,
 ) -> DataFrame:
     """Add `cluster`: the smallest `key` among the cluster's core rows; -1 for noise.
 
-    A border point within reach of several clusters takes the one with the smallest id. `key` is a
-    unique integer column. Labels spread by repeated minimum over the neighbourhood plus pointer
-    jumping; no neighbour pair is ever written out.
+    A border point within reach of several clusters takes the one with the smallest id. `key` is a unique integer column.
     """
     features = list(features)
-    points, _ = _core_points(df, features, eps, min_points, max_rows)
-    smallest = df.groupBy(*features).agg(F.min(key).alias("_id"))
-    core_points = materialise(_attach(points.filter("core").select(*features), smallest, features), "core-ids")
-    local = core_points.toPandas().sort_values("_id", ignore_index=True)
-    labels = local["_id"].to_numpy(dtype=np.int64)
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    spread = core_points.repartition(parallelism, "_id").select("_id", *features)
-    while len(labels):
-        step = _nearest_label(spread, features, local, labels, eps).select("_id", "near_label").toPandas()
-        reached = step.sort_values("_id")["near_label"].to_numpy(dtype=np.int64)
-        position = np.searchsorted(local["_id"].to_numpy(), reached)
-        jumped = np.minimum(reached, labels[position])
-        if np.array_equal(jumped, labels):
-            break
-        labels = jumped
-    marked = _nearest_label(points, features, local, labels, eps)
-    clusters = marked.select(*features, F.coalesce("near_label", F.lit(-1)).alias("cluster"))
-    return _attach(df, clusters, features)
+    points = _points(df, features, key)
+    grid = _grid(points, features, eps)
+    core = materialise(
+        points.join(_core(points, features, grid, eps, min_points, block_points), "id", "left_semi"), "core-points"
+    )
+    sides = core.select("id", F.lit(0).cast("long").alias("value"), *features)
+    links = _meet(sides, sides, features, grid, eps, block_points, _link, "a long, b long")
+    labels = components(links).withColumnRenamed("node", "id")
+    labelled = core.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("value"), *features)
+    labelled = materialise(labelled, "core-labels")
+    homes = points.select("id", F.lit(0).cast("long").alias("value"), *features)
+    near = _meet(homes, labelled, features, grid, eps, block_points, _reach, "id long, label long")
+    smallest = near.groupBy("id").agg(F.min("label").alias("label"))
+    clusters = points.join(smallest, "id", "left").select(*features, F.coalesce("label", F.lit(-1)).alias("cluster"))
+    return df.join(clusters, on=features, how="left")

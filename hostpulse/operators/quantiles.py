@@ -8,9 +8,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-# Below this many rows one aggregate with `percentile` answers; it holds the distinct values of a
-# column in one task, so larger inputs are narrowed by counting passes instead.
-ONE_PASS_ROWS = 1_000_000
 BINS = 2048
 
 
@@ -25,25 +22,12 @@ class _Bracket:
     ranks: list[int] = field(default_factory=list)
 
 
-def quantiles(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], rows: int | None = None, one_pass_rows: int = ONE_PASS_ROWS
-) -> dict[str, list[float | None]]:
-    """Quantiles per column; NULLs are ignored, an empty column gives None. `rows` saves a count."""
-    if rows is None:
-        rows = df.count()
-    if rows <= one_pass_rows:
-        found = df.agg(*[
-            F.percentile(F.col(c), F.array(*[F.lit(float(q)) for q in qs])).alias(c) for c, qs in wanted.items()
-        ]).first()
-        return {c: list(found[c]) if found[c] is not None else [None] * len(qs) for c, qs in wanted.items()}
-    return _by_counting(df, wanted)
+def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], bins: int = BINS) -> dict[str, list[float | None]]:
+    """Quantiles per column; NULLs are ignored, an empty column gives None. `df` should be a written table.
 
-
-def _by_counting(df: DataFrame, wanted: Mapping[str, Sequence[float]], bins: int = BINS) -> dict[str, list]:
-    """Narrow every sought rank to the value that holds it.
-
-    Each pass counts the rows of the open brackets per bin (a map-side combined group-by that returns
-    at most brackets x bins rows) and keeps only the bin of each rank. It ends when a bin holds one value.
+    Every sought rank is narrowed to the value that holds it. Each pass counts the rows of the open brackets per bin (a map-side
+    combined group-by that returns at most brackets x bins rows) and keeps only the bin of each rank. It ends when a bin holds
+    one value. The same passes serve any size.
     """
     columns = list(wanted)
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from hostpulse.config import (
-    BOT, FLOOD, HIGH_VOLUME, HIGH_VOLUME_FACTOR, LOW_VOLUME, NORMAL, RATE_CAP, SCAN, SCRAPER,
-    THRESHOLD_MARGIN, THRESHOLD_QUANTILE,
+    BOT, FLOOD, FLOOD_URL_RATIO, HIGH_VOLUME, HIGH_VOLUME_FACTOR, LOW_VOLUME, NORMAL, RATE_CAP, SCAN, SCRAPER,
+    SCRAPER_URL_RATIO, SMALLEST_POSITIVE, THRESHOLD_MARGIN, THRESHOLD_QUANTILE,
 )
 from hostpulse.functions.numeric import half_even
 from hostpulse.operators.labels import flagged
-from hostpulse.operators.quantiles import ONE_PASS_ROWS, quantiles
+from hostpulse.operators.quantiles import quantiles
 
 THRESHOLD_COLUMNS = ["req_count", "unique_urls", "error_4xx_rate", "bot_ua_rate"]
 PROFILE_QUANTILES = [0.5, 0.9, 0.99, 0.999]
@@ -20,21 +20,11 @@ def normal_rows(labelled: DataFrame) -> DataFrame:
     return labelled.filter(F.col("label_combined") == 1)
 
 
-def normal_percentiles(
-    labelled: DataFrame, rows: int | None = None, one_pass_rows: int = ONE_PASS_ROWS
-) -> DataFrame:
-    """p50/p90/p99/p99.9 of the four rule features over normal rows: one row per feature.
-
-    `rows` works as in `thresholds`: without it one lazy aggregate, beyond the limit counting passes.
-    """
-    normal = normal_rows(labelled)
-    if rows is None or rows <= one_pass_rows:
-        levels = F.array(*[F.lit(q) for q in PROFILE_QUANTILES])
-        wide = normal.agg(*[F.percentile(F.col(c), levels).alias(c) for c in THRESHOLD_COLUMNS])
-    else:
-        found = quantiles(normal, {c: PROFILE_QUANTILES for c in THRESHOLD_COLUMNS}, rows, one_pass_rows)
-        values = [F.array(*[F.lit(v).cast("double") for v in found[c]]).alias(c) for c in THRESHOLD_COLUMNS]
-        wide = labelled.sparkSession.range(1).select(*values)
+def normal_percentiles(labelled: DataFrame) -> DataFrame:
+    """p50/p90/p99/p99.9 of the four rule features over normal rows: one row per feature. Reads its input in several passes."""
+    found = quantiles(normal_rows(labelled), {c: PROFILE_QUANTILES for c in THRESHOLD_COLUMNS})
+    values = [F.array(*[F.lit(v).cast("double") for v in found[c]]).alias(c) for c in THRESHOLD_COLUMNS]
+    wide = labelled.sparkSession.range(1).select(*values)
     names = ["p50", "p90", "p99", "p99_9"]
     rows_out = F.array(*[
         F.struct(F.lit(c).alias("feature"), *[F.col(c)[i].alias(n) for i, n in enumerate(names)])
@@ -45,7 +35,7 @@ def normal_percentiles(
 
 def _threshold(top: Column, smallest: Column, margin: float, factor: float, cap: float | None) -> Column:
     """Widened top quantile; where that is 0, half the smallest positive value (0.01 if none)."""
-    soft = half_even(F.coalesce(smallest, F.lit(0.01)) * 0.5, 4)
+    soft = half_even(F.coalesce(smallest, F.lit(SMALLEST_POSITIVE)) * 0.5, 4)
     value = F.when(top == 0, soft).otherwise(half_even(top * margin * factor, 4))
     return F.least(value, F.lit(cap)) if cap is not None else value
 
@@ -63,24 +53,11 @@ def _from_quantiles(source: DataFrame, margin: float) -> DataFrame:
     )
 
 
-def thresholds(
-    labelled: DataFrame,
-    quantile: float = THRESHOLD_QUANTILE,
-    margin: float = THRESHOLD_MARGIN,
-    rows: int | None = None,
-    one_pass_rows: int = ONE_PASS_ROWS,
-) -> DataFrame:
-    """One-row table of rule thresholds from the normal rows.
-
-    Without `rows` the table stays lazy (one aggregate). A caller that knows the row count passes it,
-    and inputs beyond `one_pass_rows` get their quantiles by counting passes.
-    """
+def thresholds(labelled: DataFrame, quantile: float = THRESHOLD_QUANTILE, margin: float = THRESHOLD_MARGIN) -> DataFrame:
+    """One-row table of rule thresholds from the normal rows. Reads its input in several passes: give it a written table."""
     normal = normal_rows(labelled)
     positive = [F.min(F.when(F.col(c) > 0, F.col(c).cast("double"))).alias(f"min_{c}") for c in THRESHOLD_COLUMNS]
-    if rows is None or rows <= one_pass_rows:
-        tops = [F.percentile(F.col(c), quantile).alias(f"top_{c}") for c in THRESHOLD_COLUMNS]
-        return _from_quantiles(normal.agg(*tops, *positive), margin)
-    found = quantiles(normal, {c: [quantile] for c in THRESHOLD_COLUMNS}, rows, one_pass_rows)
+    found = quantiles(normal, {c: [quantile] for c in THRESHOLD_COLUMNS})
     tops = [F.lit(found[c][0]).cast("double").alias(f"top_{c}") for c in THRESHOLD_COLUMNS]
     return _from_quantiles(normal.agg(*positive).select(*tops, "*"), margin)
 
@@ -98,8 +75,8 @@ def classify(labelled: DataFrame, limits: DataFrame | Row) -> DataFrame:
         F.when(~flagged("label_combined"), NORMAL)
         .when(F.col("bot_ua_rate") > limit["bot_ua_rate"], BOT)
         .when(F.col("error_4xx_rate") > limit["error_4xx_rate"], SCAN)
-        .when((F.col("req_count") > limit["req_count_ddos"]) & (url_ratio < 0.05), FLOOD)
-        .when((F.col("unique_urls") > limit["unique_urls_scraper"]) | (url_ratio > 0.6), SCRAPER)
+        .when((F.col("req_count") > limit["req_count_ddos"]) & (url_ratio < FLOOD_URL_RATIO), FLOOD)
+        .when((F.col("unique_urls") > limit["unique_urls_scraper"]) | (url_ratio > SCRAPER_URL_RATIO), SCRAPER)
         .when(F.col("req_count") > limit["req_count_highvol"], HIGH_VOLUME)
         .otherwise(LOW_VOLUME)
     )

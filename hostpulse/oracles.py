@@ -166,8 +166,8 @@ ORACLES: dict[str, str] = {
     "standardised_features": f"with {STANDARDISED} select host, window_start, "
     + ", ".join(f"round({c}, 6) as {c}" for c in _Z_COLUMNS) + " from z",
     "standardised_embeddings": "with x as (select vec_id, "
-    + ", ".join(f"embedding[{i + 1}]::double as e{i}" for i in range(9)) + " from embeddings) select vec_id, "
-    + ", ".join(f"round((e{i} - (select avg(e{i}) from x)) / (select stddev_pop(e{i}) from x), 6) as z_e{i}" for i in range(9))
+    + ", ".join(f"embedding[{i + 1}]::double as e{i}" for i in range(64)) + " from embeddings) select vec_id, "
+    + ", ".join(f"round((e{i} - (select avg(e{i}) from x)) / (select stddev_pop(e{i}) from x), 6) as z_e{i}" for i in range(64))
     + " from x",
     "normal_percentiles": f"with {SCORED} " + " union all ".join(
         f"""select '{c}' as feature, {", ".join(f"round(quantile_cont({c}::double, {q}), 6) as {n}" for q, n in
@@ -213,16 +213,17 @@ ORACLES["anomaly_report_csv"] = _day_scored(_REPORT)
 _REFERRER = "case kind when 'error' then 'żółw' when 'signup' then 'é' || chr(129) end as referrer"
 ORACLES["ingest_mixed_dialects"] = f"""with {RAW} select nullif(host, '') as host, datetime, method, resource, protocol, status,
     nullif(bytes, '') as bytes, {_REFERRER}, user_agent from raw"""
+ORACLES["rejected_files"] = f"""with {RAW} select 'no header of 9 fields' as reason, count(*) as rows from raw where kind = 'click'"""
 ORACLES["csv_dialects"] = f"""with {RAW}
     select case kind when 'error' then ',' when 'purchase' then ';' when 'signup' then '|' else chr(9) end as separator,
       case kind when 'error' then 'windows-1250' when 'signup' then 'latin-1' else 'utf-8' end as encoding,
       count(*) as rows from raw group by all"""
-_E = [f"e{i}" for i in range(9)]
+_E = [f"e{i}" for i in range(64)]
 ORACLES["dbscan_clusters"] = f"""with recursive
-    x as (select vec_id, {", ".join(f"embedding[{i + 1}]::double as e{i}" for i in range(9))} from embeddings),
+    x as (select vec_id, {", ".join(f"embedding[{i + 1}]::double as e{i}" for i in range(64))} from embeddings),
     z as (select vec_id, {", ".join(f"({c} - (select avg({c}) from x)) / (select stddev_pop({c}) from x) as {c}" for c in _E)} from x),
     near as materialized (select a.vec_id as id, b.vec_id as other from z a, z b
-      where {" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _E)} <= 4),
+      where {" + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _E)} <= 9.4::double * 9.4::double),
     core as materialized (select id from near group by id having count(*) >= 5),
     edge as materialized (select id, other from near where id in (select id from core) and other in (select id from core)),
     reach(id, other) as (select id, other from edge union select r.id, e.other from reach r join edge e on r.other = e.id),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from hostpulse.functions.numeric import distinct_with_null, half_even, percent, total_rows
+from hostpulse.functions.numeric import distinct_with_null, half_even, percent
 
 
 def overview(cleaned: DataFrame) -> DataFrame:
@@ -23,29 +23,33 @@ def _counts(cleaned: DataFrame, key: str, name: str) -> DataFrame:
     return cleaned.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def _with_percent(counts: DataFrame, cleaned: DataFrame, name: str) -> DataFrame:
-    return counts.withColumn("pct", half_even(percent(F.col(name), total_rows(cleaned)), 1))
+def _with_percent(rows: DataFrame, counts: DataFrame, name: str) -> DataFrame:
+    """Share of all rows, which are summed from the counts: the log itself is not read again."""
+    return rows.withColumn("pct", half_even(percent(F.col(name), counts.agg(F.sum(name)).scalar()), 1))
 
 
-def _top(cleaned: DataFrame, key: str, k: int) -> DataFrame:
-    return _counts(cleaned, key, "n").orderBy(F.desc("n"), F.asc_nulls_last(key)).limit(k)
+def _top(counts: DataFrame, key: str, k: int) -> DataFrame:
+    return counts.orderBy(F.desc("n"), F.asc_nulls_last(key)).limit(k)
 
 
 def status_distribution(cleaned: DataFrame) -> DataFrame:
-    return _with_percent(_counts(cleaned, "status", "count"), cleaned, "count").orderBy(F.desc("count"), "status")
+    counts = _counts(cleaned, "status", "count")
+    return _with_percent(counts, counts, "count").orderBy(F.desc("count"), "status")
 
 
 def top_hosts(cleaned: DataFrame, k: int = 10) -> DataFrame:
-    return _with_percent(_top(cleaned, "host", k), cleaned, "n")
+    counts = _counts(cleaned, "host", "n")
+    return _with_percent(_top(counts, "host", k), counts, "n")
 
 
 def top_user_agents(cleaned: DataFrame, k: int = 10) -> DataFrame:
-    top = _with_percent(_top(cleaned, "user_agent", k), cleaned, "n")
+    counts = _counts(cleaned, "user_agent", "n")
+    top = _with_percent(_top(counts, "user_agent", k), counts, "n")
     return top.withColumn("shown", F.substring(F.coalesce("user_agent", F.lit("")), 1, 55))
 
 
 def top_resources(cleaned: DataFrame, k: int = 10) -> DataFrame:
-    return _top(cleaned, "resource", k).withColumn("shown", F.substring(F.coalesce("resource", F.lit("")), 1, 52))
+    return _top(_counts(cleaned, "resource", "n"), "resource", k).withColumn("shown", F.substring(F.coalesce("resource", F.lit("")), 1, 52))
 
 
 def hourly_load(cleaned: DataFrame) -> DataFrame:

@@ -8,9 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Row, functions as F
 
 from hostpulse.config import (
-    CONTAMINATION, DBSCAN_EPS, DBSCAN_MAX_ROWS, DBSCAN_MIN_POINTS, FEATURES, SEED, SWEEP, SWEEP_TREES, TREES,
+    CONTAMINATION, DBSCAN_EPS, DBSCAN_MIN_POINTS, FEATURES, SECONDARIES, SEED, SWEEP, SWEEP_TREES, TREES,
 )
-from hostpulse.operators.dbscan import dbscan_noise
+from hostpulse.operators.dbscan import dbscan_noise, near_core
 from hostpulse.operators.forest import Forest, add_scores, fit_forest
 from hostpulse.operators.labels import label_if, risk_score, union_label, union_vs_intersection
 from hostpulse.operators.ocsvm import fit_ocsvm, margin
@@ -42,8 +42,20 @@ class Scoring:
         return union_vs_intersection(self.scored)
 
 
-def _pick_secondary(rows: int, max_dbscan_rows: int) -> str:
-    return "dbscan" if rows <= max_dbscan_rows else "ocsvm"
+def _fit_svms(
+    z: DataFrame, scaler: Row, rows: int, nus: Sequence[float], seed: int, center: bool
+) -> dict[float, SvmModel]:
+    """One-class SVMs per nu, as weights and offset over the standardised columns.
+
+    On centred rows the optimum is w = 0 and nothing lies below the boundary. So the rows are scaled but not centred, unless
+    `center` asks for it; the shift then goes into the offset, as w.(z + m) - rho = w.z - (rho - w.m).
+    """
+    if center:
+        return fit_ocsvm(z, Z, KEYS, rows, nus, seed)
+    shift = {f"z_{c}": scaler[f"mean_{c}"] / scaler[f"std_{c}"] for c in FEATURES}
+    moved = z.select(*KEYS, *[(F.col(c) + F.lit(m)).alias(c) for c, m in shift.items()])
+    fitted = fit_ocsvm(moved, Z, KEYS, rows, nus, seed)
+    return {nu: (w, rho - sum(w[c] * m for c, m in shift.items())) for nu, (w, rho) in fitted.items()}
 
 
 def fit_and_score(
@@ -52,7 +64,8 @@ def fit_and_score(
     contamination: float = CONTAMINATION,
     trees: int = TREES,
     seed: int = SEED,
-    max_dbscan_rows: int = DBSCAN_MAX_ROWS,
+    secondary: str = SECONDARIES[0],
+    svm_center: bool = False,
     eps: float = DBSCAN_EPS,
     min_points: int = DBSCAN_MIN_POINTS,
     sweep: Sequence[float] = SWEEP,
@@ -60,9 +73,13 @@ def fit_and_score(
 ) -> Scoring:
     """Feature table in, scored table and models out. `features` should be a written table.
 
+    `secondary` names the second detector, "ocsvm" or "dbscan", whatever the size of the input.
+
     Jobs: moments; forest (one group per tree); second model; one written scoring pass; one quantile
     pass; one thresholds pass. Only fitted parameters come to the driver.
     """
+    if secondary not in SECONDARIES:
+        raise ValueError(f"unknown second detector {secondary!r}; choose from {SECONDARIES}")
     scaler = moments(features, FEATURES).first()
     rows = scaler["n"]
     if not rows:
@@ -70,13 +87,12 @@ def fit_and_score(
     z = standardise(features, FEATURES, scaler)
     forest = fit_forest(z, Z, KEYS, rows, trees, seed=seed)
 
-    secondary = _pick_secondary(rows, max_dbscan_rows)
     nus = sorted({contamination, *sweep}) if run_sensitivity else [contamination]
     core = None
-    svms = fit_ocsvm(z, Z, KEYS, rows, nus, seed) if run_sensitivity or secondary == "ocsvm" else {}
+    svms = _fit_svms(z, scaler, rows, nus, seed, svm_center) if run_sensitivity or secondary == "ocsvm" else {}
     scored = add_scores(z, forest, Z, "_score", {"_sweep_score": sweep_trees} if run_sensitivity else None)
     if secondary == "dbscan":
-        scored, core = dbscan_noise(scored, Z, eps, min_points, max_dbscan_rows)
+        scored, core = dbscan_noise(scored, Z, eps, min_points)
     else:
         scored = scored.withColumn("label_secondary", label_if(margin(svms[contamination]) < 0))
     if run_sensitivity:
@@ -86,7 +102,7 @@ def fit_and_score(
     wanted = {"_score": [contamination]}
     if run_sensitivity:
         wanted["_sweep_score"] = list(sweep)
-    cuts = quantiles(scored, wanted, rows)
+    cuts = quantiles(scored, wanted)
     offset = cuts["_score"][0]
     sensitivity = _sensitivity(scored, sweep, cuts["_sweep_score"]) if run_sensitivity else []
 
@@ -97,7 +113,7 @@ def fit_and_score(
         label_if(F.col("_score") < offset).alias("label_if"),
         "label_secondary",
     ).withColumn("label_combined", union_label())
-    limits = thresholds(labelled, rows=rows).first()
+    limits = thresholds(labelled).first()
     return Scoring(
         classify(labelled, limits), scaler, forest, offset, limits, secondary,
         svms.get(contamination) if secondary == "ocsvm" else None,
@@ -130,13 +146,26 @@ def _sensitivity(scored: DataFrame, sweep: Sequence[float], cuts: Sequence[float
     ]
 
 
-def score_with(features: DataFrame, scaler: Row, forest: Forest, offset: float) -> DataFrame:
-    """First-detector score and label for windows against fitted models; narrow, no shuffle."""
-    z = standardise(features, FEATURES, scaler)
-    scored = add_scores(z, forest, Z, "_score").drop(*Z)
-    return scored.select(
+def score_with(
+    features: DataFrame, scaler: Row, forest: Forest, offset: float, limits: Row,
+    svm: SvmModel | None = None, dbscan_core: DataFrame | None = None, eps: float = DBSCAN_EPS,
+) -> DataFrame:
+    """Scores, both labels, their union and the threat type for windows against fitted models.
+
+    A narrow pass with a stored SVM; stored DBSCAN core points are met by a join on grid cells.
+    """
+    if (svm is None) == (dbscan_core is None):
+        raise ValueError("give the SVM or the DBSCAN core points")
+    scored = add_scores(standardise(features, FEATURES, scaler), forest, Z, "_score")
+    if svm is not None:
+        scored = scored.withColumn("label_secondary", label_if(margin(svm) < 0))
+    else:
+        scored = near_core(scored, dbscan_core, Z, eps)
+    labelled = scored.select(
         *features.columns,
         F.col("_score").cast("float").alias("anomaly_score_if"),
         risk_score("_score").cast("float").alias("risk_score_100"),
         label_if(F.col("_score") < offset).alias("label_if"),
-    )
+        "label_secondary",
+    ).withColumn("label_combined", union_label())
+    return classify(labelled, limits)

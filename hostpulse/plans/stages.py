@@ -6,14 +6,17 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from hostpulse.config import DEDUP_KEYS, WINDOW_SECONDS
+from hostpulse.config import DEDUP_KEYS, SECONDARIES, WINDOW_SECONDS
 from hostpulse.operators.cleaning import clean, is_valid, type_columns
 from hostpulse.operators.windows import build_features
 from hostpulse.plans import eda, report
 from hostpulse.plans.scoring import fit_and_score
-from hostpulse.sources.csv_logs import FILE_ORDER, read_log_folder
+from hostpulse.operators.labels import union_vs_intersection
+from hostpulse.operators.threats import normal_percentiles
+from hostpulse.sources.csv_logs import FILE_ORDER, read_log_folder, rejected_files
 from hostpulse.sources.tables import read_table, save_models, write_report, write_table
 
+# The names of the steps and, below, of their tables.
 STEPS = ["ingestion", "preprocessing", "eda", "feature_engineering", "modelling", "reporting"]
 
 
@@ -51,6 +54,7 @@ def run(
     start_from: str = "ingestion",
     window_seconds: int = WINDOW_SECONDS,
     run_sensitivity: bool = True,
+    secondary: str = SECONDARIES[0],
 ) -> RunResult:
     """Each step writes its table and the next one reads it, so a lost or changed run resumes anywhere."""
     if start_from not in STEPS:
@@ -71,17 +75,23 @@ def run(
 
     if "ingestion" in active:
         write_counted(read_log_folder(spark, raw_folder), raw, rows("raw_rows"))
+        write_counted(rejected_files(spark, raw_folder), f"{out_folder}/rejected_files", rows("rejected_files"))
+        write_table(rows_per_file(read_table(spark, raw)), f"{out_folder}/rows_per_file")
     if "preprocessing" in active:
         seen = Observation()
         kept = clean(read_table(spark, raw), FILE_ORDER, counters=seen)
         write_counted(kept.sortWithinPartitions("ts"), cleaned, rows("clean_rows"))
         result.counters |= seen.get
+        result.counters["dropped_duplicates"] = seen.get["valid_rows"] - result.counters["clean_rows"]
     if "eda" in active:
-        result.profile = eda.profile(read_table(spark, cleaned))
+        for name, made in eda.profile(read_table(spark, cleaned)).items():
+            write_table(made, f"{out_folder}/profile/{name}")
+            result.profile[name] = read_table(spark, f"{out_folder}/profile/{name}")
     if "feature_engineering" in active:
-        write_counted(build_features(read_table(spark, cleaned), window_seconds), features, rows("windows"))
+        made = build_features(read_table(spark, cleaned), window_seconds).sortWithinPartitions("host", "window_start")
+        write_counted(made, features, rows("windows"))
     if "modelling" in active:
-        fitted = fit_and_score(read_table(spark, features), run_sensitivity)
+        fitted = fit_and_score(read_table(spark, features), run_sensitivity, secondary=secondary)
         write_counted(
             fitted.scored, scored,
             F.count_if(F.col("label_if") == -1).alias("anomalies_if"),
@@ -92,6 +102,8 @@ def run(
         result.sensitivity = fitted.sensitivity
     if "reporting" in active:
         table = read_table(spark, scored)
-        result.summary = report.summary(table)
+        result.summary = report.summary(table) | {
+            "overlap": union_vs_intersection(table), "normal_percentiles": normal_percentiles(table),
+        }
         result.report_path = write_report(report.anomaly_report(table), f"{out_folder}/anomaly_report")
     return result

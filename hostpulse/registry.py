@@ -19,7 +19,7 @@ from hostpulse.operators.windows import build_features
 from hostpulse.plans import eda, report, stages
 from hostpulse.plans.scoring import KEYS, Z, Scoring, fit_and_score, score_with
 from hostpulse.session import materialise, scratch_path
-from hostpulse.sources.csv_logs import detect_dialects, read_log_folder
+from hostpulse.sources.csv_logs import detect_dialects, read_log_folder, rejected_files
 from hostpulse.sources.tables import load_models, read_table, save_models, write_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +29,9 @@ _FRACTIONS = {
     "mean", "std", "p50", "p90", "p99", "p99_9", "min_score", "max_score", "mean_score", "max_risk", "only_if_pct",
     "only_secondary_pct", "intersection_pct", "union_pct", "lost_by_intersection_pct",
 }
-_EMBEDDED = [f"e{i}" for i in range(9)]
+#: Width of the `embedding` column; all of it is used.
+DIMENSIONS = 64
+_EMBEDDED = [f"e{i}" for i in range(DIMENSIONS)]
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -66,8 +68,8 @@ def _z(spark: SparkSession, sf: str, seconds: int) -> tuple[DataFrame, int]:
     return standardise(features, FEATURES, model).select(*KEYS, *Z), model["n"]
 
 
-def _fit(spark: SparkSession, sf: str, run_sensitivity: bool = False) -> Scoring:
-    return fit_and_score(_feature_table(spark, sf, WINDOW_SECONDS), run_sensitivity)
+def _fit(spark: SparkSession, sf: str, run_sensitivity: bool = False, secondary: str = "ocsvm") -> Scoring:
+    return fit_and_score(_feature_table(spark, sf, WINDOW_SECONDS), run_sensitivity, secondary=secondary)
 
 
 def _embeddings(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,6 +90,11 @@ def csv_dialects(spark: SparkSession, sf: str) -> DataFrame:
     return files.groupBy("separator", "encoding").agg(F.sum(F.col("lines") - 1).alias("rows"))
 
 
+def rejected_log_files(spark: SparkSession, sf: str) -> DataFrame:
+    left_out = rejected_files(spark, _csv_folder(spark, sf))
+    return left_out.groupBy("reason").agg(F.sum(F.col("lines") - 1).alias("rows"))
+
+
 def standardised_features(spark: SparkSession, sf: str) -> DataFrame:
     features = _feature_table(spark, sf, DAY)
     return standardise(features, FEATURES, moments(features, FEATURES)).select(*KEYS, *Z)
@@ -100,7 +107,7 @@ def standardised_embeddings(spark: SparkSession, sf: str) -> DataFrame:
 
 def thresholds_by_counting(spark: SparkSession, sf: str) -> DataFrame:
     labelled = _labelled(spark, sf)
-    return thresholds(labelled, rows=labelled.count(), one_pass_rows=0)
+    return thresholds(labelled)
 
 
 def anomaly_report_csv(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,7 +124,7 @@ def dbscan_noise_labels(spark: SparkSession, sf: str) -> DataFrame:
 def dbscan_cluster_ids(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _embeddings(spark, sf)
     scaled = standardise(vectors, _EMBEDDED, moments(vectors, _EMBEDDED)).drop(*_EMBEDDED)
-    return dbscan_clusters(scaled, [f"z_{c}" for c in _EMBEDDED], "vec_id", eps=2.0).select("vec_id", "cluster")
+    return dbscan_clusters(scaled, [f"z_{c}" for c in _EMBEDDED], "vec_id", eps=9.4).select("vec_id", "cluster")
 
 
 def isolation_forest_nodes(spark: SparkSession, sf: str) -> DataFrame:
@@ -159,8 +166,7 @@ def scored_with_stored_models(spark: SparkSession, sf: str) -> DataFrame:
     features = _feature_table(spark, sf, WINDOW_SECONDS)
     folder = scratch_path(spark, "models")
     save_models(spark, fit_and_score(features, run_sensitivity=False), folder)
-    scaler, forest, offset, _ = load_models(spark, folder)
-    return score_with(features, scaler, forest, offset)
+    return score_with(features, **vars(load_models(spark, folder)))
 
 
 def full_run(spark: SparkSession, sf: str) -> DataFrame:
@@ -182,6 +188,7 @@ QUERIES: dict[str, Query] = {
     # ingestion and cleaning
     "ingest_mixed_dialects": ingest_mixed_dialects,
     "csv_dialects": csv_dialects,
+    "rejected_files": rejected_log_files,
     "rows_per_file": over(adapters.raw_log, stages.rows_per_file),
     "typed_log": over(adapters.raw_log, lambda raw: type_columns(raw).drop("_row_id")),
     "clean_log": over(_clean, _same),
@@ -215,6 +222,7 @@ QUERIES: dict[str, Query] = {
     "ocsvm_labels": ocsvm_labels,
     "sensitivity_sweep": sensitivity_sweep,
     "scored_windows": lambda s, d: _fit(s, d).scored,
+    "scored_windows_dbscan": lambda s, d: _fit(s, d, secondary="dbscan").scored,
     "scored_with_stored_models": scored_with_stored_models,
     "full_run": full_run,
     # report

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hostpulse.config import LOG_COLUMNS, SEPARATORS
+from hostpulse.functions.text import strip
 
 # Defines "first" among copies: file name, then position in the file. A bare row id is not enough,
 # because Spark packs file splits into partitions by size.
@@ -30,11 +31,11 @@ def _separator_code(line: Column, width: int) -> Column:
     return code
 
 
-def detect_dialects(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per file with a usable header: path, file, lines, separator, encoding.
+def scan_files(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per file with lines: path, file, lines, code (of the separator), encoding, multi_line.
 
-    The first non-blank line decides the separator, all lines decide the encoding. One scan; the
-    aggregate per file split keeps numbers only, so it hashes and never sorts the text.
+    The first non-blank line decides the separator, all lines decide the encoding; a line with an odd number of quotes shows a
+    quoted line break. One scan; the aggregate per file split keeps numbers only, so it hashes and never sorts the text.
     """
     line = F.col("value")
     valid = F.is_valid_utf8(line)
@@ -46,35 +47,51 @@ def detect_dialects(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.when(F.trim(line) != "", F.monotonically_increasing_id() * base + _separator_code(line, len(LOG_COLUMNS))).alias("head"),
+        F.when(strip(line) != "", F.monotonically_increasing_id() * base + _separator_code(line, len(LOG_COLUMNS))).alias("head"),
         valid.alias("utf8"),
         (~valid & undefined).alias("not_1250"),
+        ((F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1).alias("odd"),
     )
     splits = lines.groupBy("path", "file", "block").agg(
         F.min("head").alias("head"), F.count(F.lit(1)).alias("lines"),
-        F.bool_and("utf8").alias("utf8"), F.bool_or("not_1250").alias("not_1250"),
+        F.bool_and("utf8").alias("utf8"), F.bool_or("not_1250").alias("not_1250"), F.bool_or("odd").alias("odd"),
     )
     files = splits.groupBy("path", "file").agg(
         F.min_by("head", F.when(F.col("head").isNotNull(), F.col("block"))).alias("head"),
-        F.sum("lines").alias("lines"), F.bool_and("utf8").alias("utf8"), F.bool_or("not_1250").alias("not_1250"),
+        F.sum("lines").alias("lines"), F.bool_and("utf8").alias("utf8"), F.bool_or("not_1250").alias("not_1250"), F.bool_or("odd").alias("odd"),
     )
     code = (F.col("head") % base).cast("int")
     encoding = F.when(F.col("utf8"), "utf-8").when(~F.col("not_1250"), "windows-1250").otherwise("latin-1")
-    return files.filter(code < len(SEPARATORS)).select(
-        "path", "file", "lines", F.array(*map(F.lit, SEPARATORS))[code].alias("separator"), encoding.alias("encoding")
+    return files.select(
+        "path", "file", "lines", F.coalesce(code, F.lit(len(SEPARATORS))).alias("code"), encoding.alias("encoding"),
+        F.col("odd").alias("multi_line"),
     )
 
 
-def _read_dialect(spark: SparkSession, paths: list[str], separator: str, encoding: str) -> DataFrame:
+def detect_dialects(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per file with a usable header: path, file, lines, separator, encoding, multi_line."""
+    return scan_files(spark, folder).filter(F.col("code") < len(SEPARATORS)).select(
+        "path", "file", "lines", F.array(*map(F.lit, SEPARATORS))[F.col("code")].alias("separator"), "encoding", "multi_line"
+    )
+
+
+def rejected_files(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per file that is left out: path, file, lines, reason. Files without a byte hold no rows and are not listed."""
+    reason = F.lit(f"no header of {len(LOG_COLUMNS)} fields").alias("reason")
+    return scan_files(spark, folder).where(F.col("code") >= len(SEPARATORS)).select("path", "file", "lines", reason)
+
+
+def _read_dialect(spark: SparkSession, paths: list[str], separator: str, encoding: str, multi_line: bool) -> DataFrame:
     """All files of one dialect; header skipped, short rows filled with NULL, long rows cut.
 
     Single-byte text is read byte for byte as latin-1; windows-1250 then only needs its upper half
-    mapped, which avoids a session-wide switch for further character sets.
+    mapped, which avoids a session-wide switch for further character sets. Files with quoted line breaks are read unsplit. A file
+    that breaks while it is read fails the run: nothing is dropped without a trace.
     """
     reader = (
         spark.read.schema(_SCHEMA)
         .option("header", True).option("sep", separator).option("mode", "PERMISSIVE")
-        .option("quote", '"').option("escape", '"').option("ignoreCorruptFiles", True)
+        .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
     )
     if encoding != "utf-8":
         reader = reader.option("encoding", "ISO-8859-1")
@@ -101,10 +118,10 @@ def read_log_folder(spark: SparkSession, folder: str) -> DataFrame:
         raise FileNotFoundError(f"no *.csv file in {folder}")
     groups = (
         detect_dialects(spark, folder)
-        .groupBy("separator", "encoding").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("separator", "encoding").collect()
+        .groupBy("separator", "encoding", "multi_line").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+        .orderBy("separator", "encoding", "multi_line").collect()
     )
     if not groups:
         raise RuntimeError(f"no file in {folder} has a usable header")
-    parts = [_read_dialect(spark, g["paths"], g["separator"], g["encoding"]) for g in groups]
+    parts = [_read_dialect(spark, g["paths"], g["separator"], g["encoding"], g["multi_line"]) for g in groups]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

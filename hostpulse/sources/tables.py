@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 import pandas as pd
@@ -40,7 +41,8 @@ def save_models(spark: SparkSession, result: Scoring, folder: str) -> None:
     save("scaler", [(c, scaler[f"mean_{c}"], scaler[f"std_{c}"]) for c in FEATURES], "feature string, mean double, std double")
     forest = result.forest
     save("forest", forest.nodes.astype({"threshold": "float64"}), _FOREST_SCHEMA)
-    save("forest_meta", [(forest.psi, forest.trees, forest.seed, result.offset)], "psi int, trees int, seed long, offset double")
+    save("forest_meta", [(forest.psi, forest.trees, forest.seed, result.offset, result.secondary)],
+         "psi int, trees int, seed long, offset double, secondary string")
     limits = result.limits.asDict()
     save("thresholds", [tuple(limits.values())], ", ".join(f"{c} double" for c in limits))
     if result.svm:
@@ -51,12 +53,30 @@ def save_models(spark: SparkSession, result: Scoring, folder: str) -> None:
         write_table(result.dbscan_core, f"{folder}/dbscan_core")
 
 
-def load_models(spark: SparkSession, folder: str) -> tuple[Row, Forest, float, Row]:
-    """Scaler moments, forest, score offset and rule thresholds, as `score_with` and `classify` take them."""
+@dataclass(frozen=True)
+class Models:
+    """Stored models, as `score_with` takes them: `score_with(features, **vars(models))`."""
+
+    scaler: Row
+    forest: Forest
+    offset: float
+    limits: Row
+    svm: tuple[dict[str, float], float] | None = None
+    dbscan_core: DataFrame | None = None
+
+
+def load_models(spark: SparkSession, folder: str) -> Models:
+    """Scaler moments, forest, score offset, rule thresholds, and the second detector that the run was fitted with."""
     scaler = {}
     for r in read_table(spark, f"{folder}/scaler").collect():
         scaler |= {f"mean_{r['feature']}": r["mean"], f"std_{r['feature']}": r["std"]}
     nodes: pd.DataFrame = read_table(spark, f"{folder}/forest").toPandas()
     meta = read_table(spark, f"{folder}/forest_meta").first()
     limits = read_table(spark, f"{folder}/thresholds").first()
-    return Row(**scaler), Forest(nodes, meta["psi"], meta["trees"], meta["seed"]), meta["offset"], limits
+    svm = core = None
+    if meta["secondary"] == "ocsvm":
+        weights = {r["feature"]: r["weight"] for r in read_table(spark, f"{folder}/svm").collect()}
+        svm = (weights, read_table(spark, f"{folder}/svm_meta").first()["offset"])
+    else:
+        core = read_table(spark, f"{folder}/dbscan_core")
+    return Models(Row(**scaler), Forest(nodes, meta["psi"], meta["trees"], meta["seed"]), meta["offset"], limits, svm, core)

@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from hostpulse.config import TIME_FORMATS
 from hostpulse.config import BOT_MARKERS, LOG_COLUMNS
 from hostpulse.functions.text import WHITE_SPACE, contains_any, lenient_int, parse_time, strip
 from hostpulse.operators.cleaning import clean, drop_invalid, keep_first, type_columns
@@ -107,3 +108,14 @@ def test_order_and_partitions_do_not_matter(spark):
     expected = sorted(clean(log(spark, *rows), ORDER).select("host", "resource", F.col("bytes")).collect())
     shuffled = clean(log(spark, *reversed(rows)).repartition(7), ORDER).select("host", "resource", "bytes").collect()
     assert sorted(shuffled) == expected
+
+
+def test_times_keep_their_clock_in_any_session_zone_and_width(spark):
+    df = spark.createDataFrame([("25/Mar/2018 02:30:00",), ("5/Feb/2018 6:25:05",), ("28/Oct/2018 02:30:00",)], "x string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Warsaw")
+        found = values(df.select(parse_time("x", TIME_FORMATS).alias("x")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == [datetime(2018, 3, 25, 2, 30), datetime(2018, 2, 5, 6, 25, 5), datetime(2018, 10, 28, 2, 30)]

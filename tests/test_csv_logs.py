@@ -2,7 +2,7 @@ import pytest
 
 from hostpulse.config import LOG_COLUMNS, RAW_HEADER
 from hostpulse.operators.cleaning import clean
-from hostpulse.sources.csv_logs import FILE_ORDER, detect_dialects, read_log_folder
+from hostpulse.sources.csv_logs import FILE_ORDER, detect_dialects, read_log_folder, rejected_files
 
 ROW = ["1.1.1.1", "05/Feb/2018 06:25:05", "GET", "/", "HTTP/1.1", "200", "7", "-", "Mozilla"]
 
@@ -82,3 +82,17 @@ def test_missing_and_unusable_folders(spark, tmp_path):
     (tmp_path / "x.csv").write_text("a,b\n1,2\n")
     with pytest.raises(RuntimeError):
         read_log_folder(spark, str(tmp_path))
+
+
+def test_quoted_line_breaks_and_white_first_lines_lose_nothing(spark, tmp_path):
+    (tmp_path / "broken.csv").write_text(text(",", with_(user_agent='"Moz\nilla"'), with_(host="2.2.2.2")))
+    (tmp_path / "tab.csv").write_text("\t\n" + text(",", with_(host="3.3.3.3")))
+    (tmp_path / "nbsp.csv").write_text(" \n" + text(";", with_(host="4.4.4.4")))
+    rows = {(r.host, r.user_agent) for r in read_log_folder(spark, str(tmp_path)).collect()}
+    assert {("1.1.1.1", "Moz\nilla"), ("2.2.2.2", "Mozilla")} <= rows
+    assert {r[0] for r in rows} >= {"3.3.3.3", "4.4.4.4"} and 'illa"' not in {r[0] for r in rows}
+
+
+def test_rejected_files_are_listed_with_their_reason(spark, folder):
+    found = {r.file: (r.lines, r.reason) for r in rejected_files(spark, folder).collect()}
+    assert found == {"eight.csv": (2, "no header of 9 fields")}

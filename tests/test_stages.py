@@ -9,7 +9,7 @@ from hostpulse.config import FEATURES, REPORT_COLUMNS
 from hostpulse.operators.threats import classify
 from hostpulse.plans import report, stages
 from hostpulse.plans.scoring import fit_and_score, score_with
-from hostpulse.sources.tables import load_models, read_table
+from hostpulse.sources.tables import load_models, read_table, save_models
 
 SF = "/root/testdata/sf0.001"
 
@@ -84,24 +84,34 @@ def test_unknown_step(spark):
 def test_stored_models_score_alike(spark, finished):
     out = finished[1]
     scored = read_table(spark, f"{out}/scored")
-    scaler, forest, offset, limits = load_models(spark, f"{out}/models")
-    again = score_with(read_table(spark, f"{out}/features"), scaler, forest, offset)
+    models = load_models(spark, f"{out}/models")
+    again = score_with(read_table(spark, f"{out}/features"), **vars(models))
     keys = ["host", "window_start"]
     both = scored.alias("a").join(again.alias("b"), keys)
-    assert both.filter("a.anomaly_score_if <> b.anomaly_score_if or a.label_if <> b.label_if").count() == 0
-    relabelled = classify(scored.drop("anomaly_type"), limits)
+    assert both.count() == scored.count()
+    same = ["anomaly_score_if", "label_if", "label_secondary", "label_combined", "anomaly_type"]
+    assert both.filter(" or ".join(f"a.{c} <> b.{c}" for c in same)).count() == 0
+    relabelled = classify(scored.drop("anomaly_type"), models.limits)
     assert relabelled.exceptAll(scored).count() == 0
     assert read_table(spark, f"{out}/models/scaler").count() == len(FEATURES)
 
 
-def test_large_inputs_take_the_one_class_svm(spark, finished):
+def test_the_second_detector_is_chosen_by_name_at_any_size(spark, finished, tmp_path):
     features = read_table(spark, f"{finished[1]}/features")
-    large = fit_and_score(features, run_sensitivity=False, trees=20, max_dbscan_rows=10)
-    assert large.secondary == "ocsvm" and large.svm is not None and large.dbscan_core is None
-    small = fit_and_score(features, run_sensitivity=False, trees=20)
-    assert small.secondary == "dbscan" and small.dbscan_core.count() > 0
-    overlap = small.overlap().first()
-    assert overlap.n == features.count()
+    for rows in (features.limit(300), features):
+        svm = fit_and_score(rows, run_sensitivity=False, trees=20)
+        assert svm.secondary == "ocsvm" and svm.svm is not None and svm.dbscan_core is None
+    flagged = svm.scored.filter("label_secondary = -1").count()
+    assert 0 < flagged <= 0.05 * features.count() * 1.2
+    cells = fit_and_score(features, run_sensitivity=False, trees=20, secondary="dbscan")
+    assert cells.secondary == "dbscan" and cells.dbscan_core.count() > 0
+    assert cells.overlap().first().n == features.count()
+    save_models(spark, cells, str(tmp_path))
+    again = score_with(features, **vars(load_models(spark, str(tmp_path))))
+    label = ["host", "window_start", "label_secondary"]
+    assert again.select(label).exceptAll(cells.scored.select(label)).count() == 0
+    with pytest.raises(ValueError, match="unknown second detector"):
+        fit_and_score(features, secondary="kmeans")
 
 
 def test_report_without_anomalies(spark, finished):
