@@ -2,7 +2,7 @@
 
 Objective (Schoelkopf et al. 2001): |w|^2 / 2 - rho + mean(max(0, rho - w.x)) / nu; a row is normal if
 w.x >= rho. Every shard of rows runs the whole descent on its own and the shard solutions are averaged
-(Zinkevich et al. 2010): one shuffle, one job, no iteration over the data from the driver.
+(Zinkevich et al. 2010): one shuffle, one job; the offset that goes with the mean weights is then an exact quantile.
 """
 
 from __future__ import annotations
@@ -15,26 +15,28 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hostpulse.config import SEED
+from hostpulse.operators.quantiles import quantiles
 
 SHARD_ROWS = 50_000
 MIN_SHARDS = 8
 EPOCHS = 10
-# Mini-batches are small while a shard is, and grow with it so that a shard takes about this many steps.
+# Every shard takes about this many steps: mini-batches grow with a shard, and a small one is passed over more often.
 MIN_BATCH = 32
 STEPS = 4000
 
 
-def _descend(x: np.ndarray, nus: np.ndarray, epochs: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Mini-batch descent for several nu at once; returns weights (nus x features) and offsets.
+def _descend(x: np.ndarray, nus: np.ndarray, epochs: int, rng: np.random.Generator) -> np.ndarray:
+    """Mini-batch descent for several nu at once; returns weights (nus x features).
 
     The objective times nu is nu-strongly convex in w: step 1 / (nu * (start + t)), and the answer is
     the mean of the iterates of the second half.
     """
     start = np.sqrt(np.sqrt(nus)) / nus
     weights, offset = np.zeros((len(nus), x.shape[1])), np.zeros(len(nus))
-    mean_weights, mean_offset, kept = np.zeros_like(weights), np.zeros_like(offset), 0
+    mean_weights, kept = np.zeros_like(weights), 0
     taken = 0
     batch = max(MIN_BATCH, len(x) * epochs // STEPS)
+    epochs = max(epochs, math.ceil(STEPS * min(batch, len(x)) / len(x)))
     for epoch in range(epochs):
         shuffled = x[rng.permutation(len(x))]
         for begin in range(0, len(x), batch):
@@ -47,8 +49,7 @@ def _descend(x: np.ndarray, nus: np.ndarray, epochs: int, rng: np.random.Generat
             if 2 * epoch >= epochs:
                 kept += 1
                 mean_weights += (weights - mean_weights) / kept
-                mean_offset += (offset - mean_offset) / kept
-    return mean_weights, mean_offset
+    return mean_weights
 
 
 def fit_ocsvm(
@@ -76,9 +77,9 @@ def fit_ocsvm(
         # The optimum scales with the data and its labels do not, so descend at unit mean square norm:
         # the offset has no curvature and the shrinking steps would not carry it far.
         unit = np.sqrt((x * x).sum(axis=1).mean()) or 1.0
-        weights, offset = _descend(x / unit, grid, epochs, np.random.default_rng([seed, number]))
+        weights = _descend(x / unit, grid, epochs, np.random.default_rng([seed, number]))
         table = pd.DataFrame(weights * unit, columns=features)
-        return table.assign(nu=grid, rho=offset * unit**2, n=len(x))
+        return table.assign(nu=grid, n=len(x))
 
     hashed = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
     sharded = df.select(*[F.col(c).cast("double").alias(c) for c in features], hashed.alias("draw")).withColumn(
@@ -87,11 +88,15 @@ def fit_ocsvm(
     # Compute-bound shards: one task each while they are few, then up to 32 (some 100 MB) per task.
     tasks = min(shards, max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(shards / 32)))
     sharded = sharded.repartition(tasks, "shard")
-    schema = ", ".join([*[f"`{c}` double" for c in features], "nu double", "rho double", "n long"])
+    schema = ", ".join([*[f"`{c}` double" for c in features], "nu double", "n long"])
     solved = sharded.groupBy("shard").applyInPandas(solve, schema)
-    weighted = [(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in [*features, "rho"]]
+    weighted = [(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in features]
     found = {r["nu"]: r for r in solved.groupBy("nu").agg(*weighted).collect()}
-    return {nu: ({c: found[nu][c] for c in features}, found[nu]["rho"]) for nu in map(float, nus)}
+    weights = {nu: {c: found[nu][c] for c in features} for nu in map(float, nus)}
+    # Given the weights, the best offset is the nu-quantile of w.x: about a nu share lies below it.
+    totals = {f"total_{i}": margin((w, 0.0)) for i, w in enumerate(weights.values())}
+    offsets = quantiles(df.select(*[t.alias(n) for n, t in totals.items()]), {n: [nu] for n, nu in zip(totals, weights)})
+    return {nu: (w, offsets[f"total_{i}"][0]) for i, (nu, w) in enumerate(weights.items())}
 
 
 def margin(model: tuple[dict[str, float], float]) -> Column:
