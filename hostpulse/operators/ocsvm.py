@@ -25,7 +25,7 @@ MIN_BATCH = 32
 STEPS = 4000
 
 
-def _descend(x: np.ndarray, nus: np.ndarray, epochs: int, rng: np.random.Generator) -> np.ndarray:
+def _descend(x: np.ndarray, nus: np.ndarray, epochs: int, min_steps: int, rng: np.random.Generator) -> np.ndarray:
     """Mini-batch descent for several nu at once; returns weights (nus x features).
 
     The objective times nu is nu-strongly convex in w: step 1 / (nu * (start + t)), and the answer is
@@ -36,7 +36,7 @@ def _descend(x: np.ndarray, nus: np.ndarray, epochs: int, rng: np.random.Generat
     mean_weights, kept = np.zeros_like(weights), 0
     taken = 0
     batch = max(MIN_BATCH, len(x) * epochs // STEPS)
-    epochs = max(epochs, math.ceil(STEPS * min(batch, len(x)) / len(x)))
+    epochs = max(epochs, math.ceil(min_steps * min(batch, len(x)) / len(x)))
     for epoch in range(epochs):
         shuffled = x[rng.permutation(len(x))]
         for begin in range(0, len(x), batch):
@@ -61,6 +61,7 @@ def fit_ocsvm(
     seed: int = SEED,
     epochs: int = EPOCHS,
     shard_rows: int = SHARD_ROWS,
+    min_steps: int = STEPS,
 ) -> dict[float, tuple[dict[str, float], float]]:
     """Per nu: the weight of each feature, and the offset rho.
 
@@ -77,7 +78,7 @@ def fit_ocsvm(
         # The optimum scales with the data and its labels do not, so descend at unit mean square norm:
         # the offset has no curvature and the shrinking steps would not carry it far.
         unit = np.sqrt((x * x).sum(axis=1).mean()) or 1.0
-        weights = _descend(x / unit, grid, epochs, np.random.default_rng([seed, number]))
+        weights = _descend(x / unit, grid, epochs, min_steps, np.random.default_rng([seed, number]))
         table = pd.DataFrame(weights * unit, columns=features)
         return table.assign(nu=grid, n=len(x))
 
@@ -93,9 +94,9 @@ def fit_ocsvm(
     weighted = [(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in features]
     found = {r["nu"]: r for r in solved.groupBy("nu").agg(*weighted).collect()}
     weights = {nu: {c: found[nu][c] for c in features} for nu in map(float, nus)}
-    # Given the weights, the best offset is the nu-quantile of w.x: about a nu share lies below it.
+    # Given the weights, the best offset is the nu-quantile of w.x: a nu share at most lies below it.
     totals = {f"total_{i}": margin((w, 0.0)) for i, w in enumerate(weights.values())}
-    offsets = quantiles(df.select(*[t.alias(n) for n, t in totals.items()]), {n: [nu] for n, nu in zip(totals, weights)})
+    offsets = quantiles(df.select(*[t.alias(n) for n, t in totals.items()]), {n: [max(0.0, nu - 1 / rows)] for n, nu in zip(totals, weights)})
     return {nu: (w, offsets[f"total_{i}"][0]) for i, (nu, w) in enumerate(weights.items())}
 
 

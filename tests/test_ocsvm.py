@@ -56,6 +56,6 @@ def test_centred_rows_are_never_flagged_as_a_whole(cloud):
 
 
 def test_objective_falls_with_training(cloud):
-    short = fit_ocsvm(cloud, COLUMNS, ["id"], N, [0.1], epochs=1)[0.1]
-    long = fit_ocsvm(cloud, COLUMNS, ["id"], N, [0.1], epochs=20)[0.1]
+    short = fit_ocsvm(cloud, COLUMNS, ["id"], N, [0.1], epochs=1, min_steps=0)[0.1]
+    long = fit_ocsvm(cloud, COLUMNS, ["id"], N, [0.1], epochs=20, min_steps=0)[0.1]
     assert objective(cloud, long, 0.1) < objective(cloud, short, 0.1)
