@@ -19,6 +19,8 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hostpulse.session import materialise
+
 #: (verdict, host, path): a rule fits its host and all hosts below it, if the path starts with the rule's.
 RULES = [
     ("allow", "com", "/"),
@@ -112,12 +114,28 @@ class UrlModel:
     unseen: float
 
 
+def most_frequent(counts: DataFrame, by: Column, most: int) -> DataFrame:
+    """The rows of a written table with the largest `by`, at most `most`.
+
+    Rows are first counted by the level of `by` (sixteenths of a power of two, so a few hundred at most); the cut falls between
+    two levels, and equal values stand or fall together.
+    """
+    level = F.floor(F.log2(by) * 16)
+    cut, room = None, most
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        cut = r["level"]
+    return counts.limit(0) if cut is None else counts.where(level >= cut)
+
+
 def word_counts(pages: DataFrame, most: int = VOCABULARY, seeds: list[str] = SEEDS) -> dict[str, int]:
     """The most frequent words of the pages' html; seed words count at least as much as the median word."""
     letters = F.explode(F.regexp_extract_all(F.lower(F.regexp_replace("html", "<[^>]*>", " ")), F.lit(r"(\p{L}+)"), F.lit(1)))
     words = pages.select(letters.alias("word")).where(F.length("word").between(SHORTEST, LONGEST))
-    top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(most).collect()
-    found = {r["word"]: r["count"] for r in top}
+    counts = materialise(words.groupBy("word").count(), "page-words")
+    found = {r["word"]: r["count"] for r in most_frequent(counts, F.col("count"), most).collect()}
     usual = sorted(found.values())[len(found) // 2] if found else 1
     return found | {w: max(found.get(w, 0), usual) for w in seeds}
 
@@ -145,7 +163,7 @@ def fit(pages: DataFrame, seeds: list[str] = SEEDS, most_words: int = VOCABULARY
         F.sum(F.when(F.col("block"), F.col("count")).otherwise(0)).alias("b"),
         F.sum(F.when(F.col("block"), 0).otherwise(F.col("count"))).alias("a"),
     )
-    rows = counts.orderBy(F.desc(F.col("a") + F.col("b")), "token").limit(most_features + 1).collect()
+    rows = most_frequent(materialise(counts, "url-tokens"), F.col("a") + F.col("b"), most_features + 1).collect()
     pages_of = next(((r["a"], r["b"]) for r in rows if r["token"] == ""), (0, 0))
     rows = [r for r in rows if r["token"] != ""]
     a, b, v = sum(r["a"] for r in rows), sum(r["b"] for r in rows), len(rows) + 1
