@@ -7,6 +7,7 @@ go to the tokenizer whole. Both ways give the tokenizer's own ids (tested on ran
 
 from __future__ import annotations
 
+import os
 import re
 import sys
 from collections.abc import Iterator
@@ -52,6 +53,7 @@ class Encoder:
     def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's own threads only get in the way
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.most = cache_pieces
@@ -71,25 +73,30 @@ class Encoder:
         if keep.sum() > self.most // 2:
             keep = np.zeros(n, bool)
             keep[np.argpartition(self.uses[:n], -(self.most // 2))[-(self.most // 2):]] = True
-        pieces, ids, ends, uses = list(self.index), self.ids, self.ends, self.uses
+        pieces, uses, chosen = list(self.index), self.uses, np.flatnonzero(keep)
+        flat, lengths = self._gather(chosen)
         self._forget()
-        chosen = np.flatnonzero(keep)
         for i in chosen.tolist():
             self.index[pieces[i]] = len(self.index)
-        if len(chosen):
-            self._add([ids[ends[i]:ends[i + 1]] for i in chosen.tolist()])
+        self._add(flat, lengths)
         self.uses = uses[chosen] // 2
 
-    def _add(self, rows: list[np.ndarray]) -> None:
-        flat = np.concatenate(rows)
+    def _gather(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chosen pieces in a row, and how many each has."""
+        first = self.ends[chosen]
+        lengths = self.ends[chosen + 1] - first
+        until = np.cumsum(lengths)
+        return self.ids[np.repeat(first - (until - lengths), lengths) + np.arange(int(lengths.sum()))], lengths
+
+    def _add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
         used = self.ends[self.ends_used - 1]
         while used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while self.ends_used + len(rows) > len(self.ends):
+        while self.ends_used + len(lengths) > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         self.ids[used:used + len(flat)] = flat
-        self.ends[self.ends_used:self.ends_used + len(rows)] = used + np.cumsum([len(r) for r in rows])
-        self.ends_used += len(rows)
+        self.ends[self.ends_used:self.ends_used + len(lengths)] = used + np.cumsum(lengths)
+        self.ends_used += len(lengths)
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces in their order, many in one string with line breaks between them."""
@@ -98,10 +105,12 @@ class Encoder:
             plain = [t for t in texts if t != "\n"]
             joined = ["\n".join([*plain[j:j + 500], ""]) for j in range(0, len(plain), 500)]
             flat = np.concatenate([np.asarray(row, self.ids.dtype) for row in [[], *self.encode_whole(joined)]])
-            cuts = np.flatnonzero(flat == _BREAK)
-            rows = iter(np.split(flat, np.stack([cuts, cuts + 1], 1).ravel())[0:2 * len(plain):2])
-            line_break = np.asarray([_BREAK], self.ids.dtype)
-            self._add([line_break if t == "\n" else next(rows) for t in texts])
+            breaks = flat == _BREAK
+            lengths, flat = np.diff(np.flatnonzero(breaks), prepend=-1) - 1, flat[~breaks]
+            if len(plain) < len(texts):  # the line break is a piece too, once
+                at = texts.index("\n")
+                flat, lengths = np.insert(flat, lengths[:at].sum(), _BREAK), np.insert(lengths, at, 1)
+            self._add(flat, lengths)
 
     def encode_whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -125,10 +134,8 @@ class Encoder:
         seen[:len(self.uses)] += self.uses
         self.uses = seen
         counts = np.zeros(len(texts), np.int64)
-        first, length = self.ends[chosen], self.ends[chosen + 1] - self.ends[chosen]
-        total = int(length.sum())
+        flat, length = self._gather(chosen)
         until = np.cumsum(length)
-        flat = self.ids[np.repeat(first - (until - length), length) + np.arange(total)]
         edges = np.concatenate([[0], until])[np.cumsum([0, *map(len, parts)])]
         rows: dict[int, np.ndarray] = {i: flat[edges[k]:edges[k + 1]] for k, i in enumerate(plain)}
         odd = [i for i in range(len(texts)) if i not in rows]
