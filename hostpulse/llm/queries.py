@@ -67,7 +67,8 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return url_filter.judge(pages, url_filter.fit(pages))
+    model, places = url_filter.learn(pages)
+    return url_filter.judge(pages, model, places=places)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

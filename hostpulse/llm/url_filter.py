@@ -37,8 +37,6 @@ SEEDS = [
 #: The segmenter's dictionary: the most frequent words of the pages, and the shortest and longest word taken.
 VOCABULARY = 50_000
 SHORTEST, LONGEST = 2, 20
-#: Tokens that the classifier knows: the most frequent of hosts and paths.
-FEATURES = 50_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -106,11 +104,11 @@ class Segmenter:
 
 @dataclass(frozen=True)
 class UrlModel:
-    """Dictionary counts, and per token the log odds of block against allow; both are bounded by parameters."""
+    """Dictionary counts, and per token the log odds of block against allow: a written (token, odds) table of any size, or a small dict."""
 
     words: dict[str, int]
     prior: float
-    odds: dict[str, float]
+    odds: DataFrame | dict[str, float]
     unseen: float
 
 
@@ -149,48 +147,66 @@ def _tokenized(words: dict[str, int]):
     return run
 
 
-def fit(pages: DataFrame, seeds: list[str] = SEEDS, most_words: int = VOCABULARY, most_features: int = FEATURES) -> UrlModel:
-    """Count the tokens of all pages by class; what comes to the driver is bounded by the two vocabulary sizes."""
-    words = word_counts(pages, most_words, seeds)
+def segmented(pages: DataFrame, words: dict[str, int]) -> DataFrame:
+    """The distinct places of the pages, written: place, host, path, count, tokens. Equal places are segmented once."""
     parts = pages.select(host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    places = parts.groupBy("host", "path").count()  # equal places are segmented once
     schema = "host string, path string, count long, tokens array<string>"
-    tokens = places.mapInPandas(_tokenized(words), schema)
+    places = parts.groupBy("host", "path").count().mapInPandas(_tokenized(words), schema)
+    return materialise(places.withColumn("place", F.monotonically_increasing_id()), "url-places")
+
+
+def learn(pages: DataFrame, seeds: list[str] = SEEDS, most_words: int = VOCABULARY) -> tuple[UrlModel, DataFrame]:
+    """The model, and the segmented places of the pages it learned from.
+
+    The tokens of all pages are counted by class, and every token has its own odds; only totals come to the driver.
+    """
+    words = word_counts(pages, most_words, seeds)
+    places = segmented(pages, words)
     marks = F.array(*(F.lit(f"{side}:{w}") for w in seeds for side in "hp"))
-    marked = tokens.select("count", "tokens", F.arrays_overlap("tokens", marks).alias("block"))
+    marked = places.select("count", "tokens", F.arrays_overlap("tokens", marks).alias("block"))
     each = marked.select(F.explode(F.concat("tokens", F.array(F.lit("")))).alias("token"), "block", "count")
     counts = each.groupBy("token").agg(
         F.sum(F.when(F.col("block"), F.col("count")).otherwise(0)).alias("b"),
         F.sum(F.when(F.col("block"), 0).otherwise(F.col("count"))).alias("a"),
     )
-    rows = most_frequent(materialise(counts, "url-tokens"), F.col("a") + F.col("b"), most_features + 1).collect()
-    pages_of = next(((r["a"], r["b"]) for r in rows if r["token"] == ""), (0, 0))
-    rows = [r for r in rows if r["token"] != ""]
-    a, b, v = sum(r["a"] for r in rows), sum(r["b"] for r in rows), len(rows) + 1
-    if not pages_of[0] or not pages_of[1]:
-        return UrlModel(words, -math.inf if not pages_of[1] else math.inf, {}, 0.0)
-    odds = {r["token"]: math.log((r["b"] + 1) / (b + v)) - math.log((r["a"] + 1) / (a + v)) for r in rows}
-    return UrlModel(words, math.log(pages_of[1] / pages_of[0]), odds, math.log((a + v) / (b + v)))
-
-
-def _scored(model: UrlModel):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        segmenter = Segmenter(model.words)
-        for batch in batches:
-            tokens = [segmenter.tokens(h, p) for h, p in zip(batch["host"], batch["path"], strict=True)]
-            score = [model.prior + sum(model.odds.get(t, model.unseen) for t in row) for row in tokens]
-            yield batch.assign(tokens=tokens, score=score)
-
-    return run
-
-
-def judge(pages: DataFrame, model: UrlModel, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
-    """page_id, host, path, rule, verdict, and what the method saw: tokens and the log odds of block."""
+    counts = materialise(counts, "url-tokens")
+    pages_of = counts.where("token = ''").first() or {"a": 0, "b": 0}
+    if not pages_of["a"] or not pages_of["b"]:
+        return UrlModel(words, -math.inf if not pages_of["b"] else math.inf, {}, 0.0), places
+    counts = counts.where("token <> ''")
+    total = counts.agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count(F.lit(1)).alias("n")).first()
+    a, b, v = total["a"] or 0, total["b"] or 0, total["n"] + 1
+    odds = counts.select("token", (F.log((F.col("b") + 1) / (b + v)) - F.log((F.col("a") + 1) / (a + v))).alias("odds"))
+    return UrlModel(words, math.log(pages_of["b"] / pages_of["a"]), odds, math.log((a + v) / (b + v))), places
+
+
+def fit(pages: DataFrame, seeds: list[str] = SEEDS, most_words: int = VOCABULARY) -> UrlModel:
+    return learn(pages, seeds, most_words)[0]
+
+
+def _scored(places: DataFrame, model: UrlModel) -> DataFrame:
+    """host, path, tokens and score of written places: their tokens meet the odds by a join and are added up in their order."""
+    odds = model.odds
+    if isinstance(odds, dict):
+        odds = places.sparkSession.createDataFrame(list(odds.items()), "token string, odds double")
+    each = places.select("place", F.posexplode("tokens").alias("at", "token")).join(odds, "token", "left")
+    each = each.select("place", F.struct("at", F.coalesce("odds", F.lit(model.unseen)).alias("odds")).alias("step"))
+    steps = each.groupBy("place").agg(F.sort_array(F.collect_list("step")).alias("steps"))
+    evidence = F.aggregate("steps", F.lit(0.0), lambda total, step: total + step["odds"])
+    found = places.join(steps, "place", "left")  # a place without tokens has no steps
+    return found.select("host", "path", "tokens", (F.lit(model.prior) + F.coalesce(evidence, F.lit(0.0))).alias("score"))
+
+
+def judge(
+    pages: DataFrame, model: UrlModel, rules: list[tuple[str, str, str]] = RULES, places: DataFrame | None = None,
+) -> DataFrame:
+    """page_id, host, path, rule, verdict, and what the method saw: tokens and the log odds of block.
+
+    `places` are the segmented places of the same pages, if they are there already.
+    """
     parts = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    kinds = dict(parts.dtypes)
-    scored = parts.mapInPandas(
-        _scored(model), f"page_id {kinds['page_id']}, host string, path string, tokens array<string>, score double"
-    )
+    places = segmented(pages, model.words) if places is None else places
+    scored = parts.join(_scored(places, model), ["host", "path"])
     ruled = scored.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
     method = F.when(F.col("score") > 0, "block").otherwise("allow")
     return ruled.select(

@@ -65,3 +65,19 @@ def test_nothing_to_learn(spark):
     assert uf.judge(empty, model).count() == 0
     one = spark.createDataFrame([(1, "http://a.org/x", None)], "page_id long, url string, html string")
     assert uf.judge(one, uf.fit(one)).first()["verdict"] == "allow"
+
+
+def test_every_token_has_its_own_odds(spark):
+    letters = "bcdfghjklm"
+    tail = ["".join(letters[int(d)] for d in f"{i:05}") + "zzz" for i in range(52_000)]
+    rows = [(i, f"http://m.example.org/{w}/{w}", None) for i, w in enumerate(tail)] + [(60_000, "http://m.casino.example.org/win", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    model = uf.fit(pages, ["casino"])
+    odds = {r["token"]: r["odds"] for r in model.odds.collect()}
+    assert {f"p:{w}" for w in tail} < odds.keys() and "h:casino" in odds
+    a, b, v = 5 * 52_000, 5, len(odds) + 1
+    assert math.isclose(model.unseen, math.log((a + v) / (b + v)))
+    assert math.isclose(odds[f"p:{tail[7]}"], math.log(1 / (b + v)) - math.log(3 / (a + v)))
+    got = {r["page_id"]: r for r in uf.judge(pages, model).collect()}
+    assert len(got) == len(rows) and {got[i]["verdict"] for i in range(52_000)} == {"allow"}
+    assert math.isclose(got[7]["score"], model.prior + sum(odds[t] for t in got[7]["tokens"]))
