@@ -17,8 +17,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hostpulse.operators.quantiles import quantiles
 from hostpulse.session import materialise
 
 #: (verdict, host, path): a rule fits its host and all hosts below it, if the path starts with the rule's.
@@ -34,9 +36,10 @@ SEEDS = [
     "adult", "bet", "bets", "betting", "casino", "cheap", "dating", "escort", "gambling", "jackpot", "lottery", "pills",
     "pharma", "poker", "porn", "replica", "sex", "slots", "spam", "track", "tracker", "viagra", "warez", "xxx", "ads",
 ]
-#: The segmenter's dictionary: the most frequent words of the pages, and the shortest and longest word taken.
-VOCABULARY = 50_000
+#: The shortest and longest word that the segmenter's dictionary takes from the pages.
 SHORTEST, LONGEST = 2, 20
+#: Letters whose substrings a task gathers at once.
+STRETCH = 10_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -65,19 +68,17 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]] = RULE
 
 
 class Segmenter:
-    """Most probable split of a run of letters into known words; unknown stretches cost more the longer they are."""
+    """Most probable split of a run of letters into known words; unknown stretches cost more the longer they are.
 
-    MOST_KNOWN = 200_000
+    `total` is the sum of all counts, if `counts` has only the words that a run can hold.
+    """
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) + 1
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        total = (sum(counts.values()) if total is None else total) + 1
         self.cost = {w: -math.log(n / total) for w, n in counts.items()}
         self.unknown = math.log(total) + 2.0
-        self.known: dict[str, list[str]] = {}
 
     def split(self, run: str) -> list[str]:
-        if run in self.known:
-            return self.known[run]
         best, back = [0.0] + [math.inf] * len(run), [0] * (len(run) + 1)
         for end in range(1, len(run) + 1):
             for start in range(max(0, end - LONGEST), end):
@@ -89,78 +90,112 @@ class Segmenter:
         while end:
             words.append(run[back[end]:end])
             end = back[end]
-        if len(self.known) >= self.MOST_KNOWN:
-            self.known.clear()
-        self.known[run] = words[::-1]
-        return self.known[run]
-
-    def tokens(self, host: str, path: str) -> list[str]:
-        """Words of the host's labels, marked, and of the path."""
-        return [
-            *(f"h:{w}" for run in _LETTERS.findall(host) for w in self.split(run)),
-            *(f"p:{w}" for run in _LETTERS.findall(path.lower()) for w in self.split(run)),
-        ]
+        return words[::-1]
 
 
 @dataclass(frozen=True)
 class UrlModel:
-    """Dictionary counts, and per token the log odds of block against allow: a written (token, odds) table of any size, or a small dict."""
+    """Dictionary counts, and per token the log odds of block against allow.
+
+    Both are written tables of any size, (word, count) and (token, odds), or small dicts.
+    """
 
-    words: dict[str, int]
+    words: DataFrame | dict[str, int]
     prior: float
     odds: DataFrame | dict[str, float]
     unseen: float
 
 
-def most_frequent(counts: DataFrame, by: Column, most: int) -> DataFrame:
-    """The rows of a written table with the largest `by`, at most `most`.
+def _table(spark: SparkSession, given: DataFrame | dict, schema: str) -> DataFrame:
+    return spark.createDataFrame(list(given.items()), schema) if isinstance(given, dict) else given
 
-    Rows are first counted by the level of `by` (sixteenths of a power of two, so a few hundred at most); the cut falls between
-    two levels, and equal values stand or fall together.
-    """
-    level = F.floor(F.log2(by) * 16)
-    cut, room = None, most
-    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
-        room -= r["count"]
-        if room < 0:
-            break
-        cut = r["level"]
-    return counts.limit(0) if cut is None else counts.where(level >= cut)
-
-
-def word_counts(pages: DataFrame, most: int = VOCABULARY, seeds: list[str] = SEEDS) -> dict[str, int]:
-    """The most frequent words of the pages' html; seed words count at least as much as the median word."""
+
+def word_counts(pages: DataFrame, seeds: list[str] = SEEDS) -> DataFrame:
+    """All words of the pages' html with their counts; seed words count at least as much as the median word."""
     letters = F.explode(F.regexp_extract_all(F.lower(F.regexp_replace("html", "<[^>]*>", " ")), F.lit(r"(\p{L}+)"), F.lit(1)))
     words = pages.select(letters.alias("word")).where(F.length("word").between(SHORTEST, LONGEST))
     counts = materialise(words.groupBy("word").count(), "page-words")
-    found = {r["word"]: r["count"] for r in most_frequent(counts, F.col("count"), most).collect()}
-    usual = sorted(found.values())[len(found) // 2] if found else 1
-    return found | {w: max(found.get(w, 0), usual) for w in seeds}
-
-
-def _tokenized(words: dict[str, int]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        segmenter = Segmenter(words)
+    n = counts.count()
+    # The quantile of this rank is the word's own count, without interpolation.
+    usual = round(quantiles(counts, {"count": [n // 2 / max(n - 1, 1)]})["count"][0]) if n else 1
+    found = {r["word"]: r["count"] for r in counts.where(F.col("word").isin(seeds)).collect()}
+    marks = {w: max(found.get(w, 0), usual) for w in seeds}
+    return counts.where(~F.col("word").isin(seeds)).unionByName(_table(pages.sparkSession, marks, "word string, count long"))
+
+
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Runs of letters of the host, marked, and of the lower-cased path."""
+    for batch in batches:
+        yield batch.assign(runs=[
+            [*(f"h:{r}" for r in _LETTERS.findall(h)), *(f"p:{r}" for r in _LETTERS.findall(p.lower()))]
+            for h, p in zip(batch["host"], batch["path"], strict=True)
+        ])
+
+
+def _substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(run, word): the run itself, and its substrings that a dictionary may hold, in batches of bounded size."""
+    runs, words = [], []
+    for batch in batches:
+        for run in batch["run"].to_pylist():
+            for at in range(0, len(run), STRETCH):
+                found = {
+                    run[i:j] for i in range(at, min(at + STRETCH, len(run)))
+                    for j in range(i + SHORTEST, min(i + LONGEST, len(run)) + 1)
+                }
+                found |= {run} if at == 0 else set()
+                runs += [run] * len(found)
+                words += found
+                if len(words) >= STRETCH:
+                    yield pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), pa.array(words, pa.string())], ["run", "word"])
+                    runs, words = [], []
+    yield pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), pa.array(words, pa.string())], ["run", "word"])
+
+
+def _splits(total: int):
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.assign(tokens=[segmenter.tokens(h, p) for h, p in zip(batch["host"], batch["path"], strict=True)])
-
-    return run
+            runs = batch["run"].to_pylist()
+            words = [
+                Segmenter({r["word"]: r["count"] for r in known}, total).split(run)
+                for run, known in zip(runs, batch["known"].to_pylist(), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch["run"], pa.array(words, pa.list_(pa.string()))], ["run", "words"])
 
+    return split
 
-def segmented(pages: DataFrame, words: dict[str, int]) -> DataFrame:
-    """The distinct places of the pages, written: place, host, path, count, tokens. Equal places are segmented once."""
-    parts = pages.select(host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    schema = "host string, path string, count long, tokens array<string>"
-    places = parts.groupBy("host", "path").count().mapInPandas(_tokenized(words), schema)
-    return materialise(places.withColumn("place", F.monotonically_increasing_id()), "url-places")
 
+def segmented(pages: DataFrame, words: DataFrame | dict[str, int]) -> DataFrame:
+    """The distinct places of the pages, written: place, host, path, count, tokens.
 
-def learn(pages: DataFrame, seeds: list[str] = SEEDS, most_words: int = VOCABULARY) -> tuple[UrlModel, DataFrame]:
+    Every distinct run of letters is split once, with the counts of all dictionary words that it holds.
+    """
+    words = _table(pages.sparkSession, words, "word string, count long")
+    total = words.agg(F.sum("count")).first()[0] or 0
+    parts = pages.select(host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
+    schema = "host string, path string, count long, runs array<string>"
+    places = parts.groupBy("host", "path").count().mapInPandas(_runs, schema)
+    places = materialise(places.withColumn("place", F.monotonically_increasing_id()), "url-places")
+    each = places.select("place", F.posexplode("runs").alias("at", "marked"))
+    each = each.select("place", "at", F.substring("marked", 1, 2).alias("side"), F.expr("substring(marked, 3)").alias("run"))
+    held = each.select("run").distinct().mapInArrow(_substrings, "run string, word string").join(words, "word", "left")
+    held = held.where(F.col("count").isNotNull() | (F.col("word") == F.col("run")))  # a run without known words stays too
+    known = F.collect_set(F.when(F.col("count").isNotNull(), F.struct("word", "count"))).alias("known")
+    splits = held.groupBy("run").agg(known).mapInArrow(_splits(total), "run string, words array<string>")
+    splits = materialise(splits, "url-runs")
+    found = each.join(splits, "run").select("place", F.struct("at", "side", "words").alias("part"))
+    found = found.groupBy("place").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    tokens = F.flatten(F.transform("parts", lambda p: F.transform(p["words"], lambda w: F.concat(p["side"], w))))
+    found = places.drop("runs").join(found, "place", "left")  # a place without letters has no parts
+    tokens = F.coalesce(tokens, F.array().cast("array<string>"))
+    return materialise(found.select("place", "host", "path", "count", tokens.alias("tokens")), "url-segmented")
+
+
+def learn(pages: DataFrame, seeds: list[str] = SEEDS) -> tuple[UrlModel, DataFrame]:
     """The model, and the segmented places of the pages it learned from.
 
     The tokens of all pages are counted by class, and every token has its own odds; only totals come to the driver.
     """
-    words = word_counts(pages, most_words, seeds)
+    words = word_counts(pages, seeds)
     places = segmented(pages, words)
     marks = F.array(*(F.lit(f"{side}:{w}") for w in seeds for side in "hp"))
     marked = places.select("count", "tokens", F.arrays_overlap("tokens", marks).alias("block"))
@@ -180,15 +215,13 @@ def learn(pages: DataFrame, seeds: list[str] = SEEDS, most_words: int = VOCABULA
     return UrlModel(words, math.log(pages_of["b"] / pages_of["a"]), odds, math.log((a + v) / (b + v))), places
 
 
-def fit(pages: DataFrame, seeds: list[str] = SEEDS, most_words: int = VOCABULARY) -> UrlModel:
-    return learn(pages, seeds, most_words)[0]
+def fit(pages: DataFrame, seeds: list[str] = SEEDS) -> UrlModel:
+    return learn(pages, seeds)[0]
 
 
 def _scored(places: DataFrame, model: UrlModel) -> DataFrame:
     """host, path, tokens and score of written places: their tokens meet the odds by a join and are added up in their order."""
-    odds = model.odds
-    if isinstance(odds, dict):
-        odds = places.sparkSession.createDataFrame(list(odds.items()), "token string, odds double")
+    odds = _table(places.sparkSession, model.odds, "token string, odds double")
     each = places.select("place", F.posexplode("tokens").alias("at", "token")).join(odds, "token", "left")
     each = each.select("place", F.struct("at", F.coalesce("odds", F.lit(model.unseen)).alias("odds")).alias("step"))
     steps = each.groupBy("place").agg(F.sort_array(F.collect_list("step")).alias("steps"))

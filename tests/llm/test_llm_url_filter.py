@@ -81,3 +81,18 @@ def test_every_token_has_its_own_odds(spark):
     got = {r["page_id"]: r for r in uf.judge(pages, model).collect()}
     assert len(got) == len(rows) and {got[i]["verdict"] for i in range(52_000)} == {"allow"}
     assert math.isclose(got[7]["score"], model.prior + sum(odds[t] for t in got[7]["tokens"]))
+
+
+def test_rare_words_keep_their_own_counts(spark):
+    letters = "bcdfghjklm"
+    common = ["".join(letters[int(d)] for d in f"{i:05}") for i in range(51_000)]
+    html = " ".join(f"{w} {w}" for w in common) + " sus sus sus sus sus sussex"
+    pages = spark.createDataFrame([(1, "http://m.org/sussex", html), (2, "http://m.org/zq/Sussex/" + "q" * 30_000, None)], "page_id long, url string, html string")
+    words = uf.word_counts(pages)
+    counts = {r["word"]: r["count"] for r in words.collect()}
+    assert counts["sussex"] == 1 and counts["sus"] == 5 and counts["sex"] == 2 and len(counts) == 51_002 + len(uf.SEEDS)
+    got = {r["path"]: r["tokens"] for r in uf.segmented(pages, words).collect()}
+    assert got["/sussex"] == ["h:m", "h:org", "p:sussex"]
+    assert got["/zq/Sussex/" + "q" * 30_000][:4] == ["h:m", "h:org", "p:zq", "p:sussex"]
+    whole = uf.Segmenter(counts)
+    assert got["/zq/Sussex/" + "q" * 30_000][4:] == [f"p:{w}" for w in whole.split("q" * 30_000)]
