@@ -6,8 +6,8 @@ so a match starts and ends at words; matches are mapped back to character offset
 
 The automaton is bounded: benchmark text beyond `BLOCK_BYTES` goes through several automata, one narrow pass each.
 
-Defined cases: a NULL or empty text has no words and no hits; items without words or without id give no window; items with
-equal text are both reported; repeated rows get equal rows; extra columns are ignored.
+Defined cases: a NULL or empty text has no words and no hits; items without words give no window; items without id
+are found too and count as one item, NULL; items with equal text are both reported; repeated rows get equal rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def _spaced(words: list[bytes]) -> str:
     return f" {b' '.join(words).decode()} "
 
 
-def windows(items: list[tuple[str, str]], size: int = WINDOW) -> dict[str, list]:
+def windows(items: list[tuple[str | None, str]], size: int = WINDOW) -> dict[str, list]:
     """Spaced window -> [its number of words, the items that hold it]."""
     found: dict[str, list] = defaultdict(lambda: [0, []])
     for item, text in items:
@@ -57,23 +57,21 @@ def windows(items: list[tuple[str, str]], size: int = WINDOW) -> dict[str, list]
 def _hits(text: str, words: list[bytes], automaton: ahocorasick.Automaton) -> list[dict]:
     """Runs of overlapping or touching windows per item, in words and in characters of the text."""
     spaced = _spaced(words)
-    gaps, spans, runs, out = None, None, {}, []
+    gaps, spans, runs = None, None, defaultdict(list)
     for end, (n, items) in automaton.iter(spaced):
         if gaps is None:
             gaps = np.flatnonzero(np.frombuffer(spaced.encode("utf-32-le"), np.uint32) == 32)
             spans = [m.span() for m in _WORD.finditer(text)]
         last = int(np.searchsorted(gaps, end)) - 1
-        first = last - n + 1
         for item in items:
-            run = runs.get(item)
-            if run and first <= run["last_word"] + 1:
-                run["last_word"], run["end"] = last, spans[last][1]
-                continue
-            runs[item] = {
+            first, own = last - n + 1, runs[item]
+            # Texts of one id can have windows of different lengths: a long one that ends later may reach back over several runs.
+            while own and first <= own[-1]["last_word"] + 1:
+                first = min(first, own.pop()["first_word"])
+            own.append({
                 "first_word": first, "last_word": last, "start": spans[first][0], "end": spans[last][1], "item_id": item,
-            }
-            out.append(runs[item])
-    return out
+            })
+    return [run for own in runs.values() for run in own]
 
 
 def _scanner(found: dict[str, list]):
@@ -103,7 +101,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, carry: list[str] | None
     `carry` names the columns to keep, doc_id alone if not given. Only benchmark text comes to the driver, one bounded block at a time.
     """
     carry = ["doc_id"] if carry is None else carry
-    items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(
+    items = benchmark.where(F.col("text").isNotNull()).select(
         F.col("item_id").cast("string").alias("item_id"), "text"
     )
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -112,7 +110,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, carry: list[str] | None
     state = docs.select(
         F.struct(*carry).alias("row"), F.col("text"), F.lit(0).cast("long").alias("n_words"), empty.alias("hits")
     )
-    block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
+    block = F.pmod(F.xxhash64(F.coalesce("item_id", "text")), F.lit(blocks))
     for k in range(blocks):
         part = items.where(block == k).collect() if blocks > 1 else items.collect()
         state = state.mapInArrow(_scanner(windows([tuple(r) for r in part])), state.schema)
@@ -126,7 +124,7 @@ def n_hit() -> Column:
 
 
 def item_ids() -> Column:
-    """Distinct items that occur, in string order."""
+    """Distinct items that occur, in string order; NULL, for all items without id, comes first."""
     return F.sort_array(F.array_distinct(F.transform("hits", lambda h: h["item_id"])))
 
 

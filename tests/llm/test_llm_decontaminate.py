@@ -67,3 +67,18 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and not {1, 2} & {r["doc_id"] for r in kept.collect()} and kept.count() == len(ROWS) - 2
     assert decontaminate.drop_contaminated(docs, benchmark.limit(0)).count() == len(ROWS)
     assert decontaminate.find_passages(none(spark), benchmark).count() == 0
+
+
+def test_texts_of_one_id_and_items_without_id(spark):
+    benchmark = spark.createDataFrame(
+        [(1, "c d"), (1, "f g"), (1, "a b c d e f g h i j"), (None, "lonely words here"), (None, "k l")], "item_id long, text string"
+    )
+    docs = texts(spark, [(1, "x a b c d e f g h i j y"), (2, "some lonely words here"), (3, "k l x c d"), (4, "x")])
+    for block in (4_000_000, 10):
+        got = run(docs, benchmark, block_bytes=block)
+        assert [(h["first_word"], h["last_word"], h["start"], h["end"]) for h in got[1]["hits"]] == [(1, 10, 2, 21)]
+        assert [(got[i]["h"], got[i]["items"]) for i in (1, 2, 3, 4)] == [(10, ["1"]), (3, [None]), (4, [None, "1"]), (0, [])]
+        sha = lambda names: hashlib.sha256(names.encode()).hexdigest()
+        assert [got[i]["sha"] for i in (1, 2, 3)] == [sha("1"), sha(""), sha("1")]
+    kept = decontaminate.drop_contaminated(docs, benchmark)
+    assert [r["doc_id"] for r in kept.collect()] == [4]
