@@ -4,7 +4,8 @@ Words are runs of digits, ASCII letters (lower-cased) and characters beyond ASCI
 consecutive words, a shorter one a single window. Texts and windows are joined by single spaces with a space at both ends,
 so a match starts and ends at words; matches are mapped back to character offsets of the original text.
 
-The automaton is bounded: benchmark text beyond `BLOCK_BYTES` goes through several automata, one narrow pass each.
+The automaton is bounded: benchmark text beyond `BLOCK_BYTES` goes through several automata, one pass each. The hits of a block
+are written before the next block is read, so the driver and every task hold one block at a time.
 
 Defined cases: a NULL or empty text has no words and no hits; items without words give no window; items without id
 are found too and count as one item, NULL; items with equal text are both reported; repeated rows get equal rows; extra columns are ignored.
@@ -21,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hostpulse.session import materialise, scratch_path
+
 WINDOW = 10
 #: Benchmark text that one automaton may hold (its windows take about ten times as much).
 BLOCK_BYTES = 4_000_000
@@ -111,10 +114,23 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, carry: list[str] | None
         F.struct(*carry).alias("row"), F.col("text"), F.lit(0).cast("long").alias("n_words"), empty.alias("hits")
     )
     block = F.pmod(F.xxhash64(F.coalesce("item_id", "text")), F.lit(blocks))
+    if blocks == 1:
+        found = windows([tuple(r) for r in items.collect()])
+        return state.mapInArrow(_scanner(found), state.schema).select("row.*", "n_words", "hits")
+    # Rows are numbered in a written table, since ids may repeat or be NULL; only rows with hits are written per block.
+    counted = state.mapInArrow(_scanner({}), state.schema)
+    state = materialise(counted.withColumn("number", F.monotonically_increasing_id()), "texts")
+    parts = []
     for k in range(blocks):
-        part = items.where(block == k).collect() if blocks > 1 else items.collect()
-        state = state.mapInArrow(_scanner(windows([tuple(r) for r in part])), state.schema)
-    return state.select("row.*", "n_words", "hits")
+        found = windows([tuple(r) for r in items.where(block == k).collect()])
+        scanned = state.select("number", "text", "n_words", "hits")
+        scanned = scanned.mapInArrow(_scanner(found), scanned.schema)
+        parts.append(scratch_path(docs.sparkSession, "hits"))
+        scanned.where(F.size("hits") > 0).select("number", "hits").write.parquet(parts[-1])
+    hits = docs.sparkSession.read.schema(state.select("number", "hits").schema).parquet(*parts)
+    hits = hits.groupBy("number").agg(F.flatten(F.collect_list("hits")).alias("found"))
+    joined = state.join(hits, "number", "left")
+    return joined.select("row.*", "n_words", F.coalesce("found", "hits").alias("hits"))
 
 
 def n_hit() -> Column:

@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from hostpulse.llm import decontaminate
+from hostpulse.session import scratch_path
 from llm_cases import ROWS, documents, none, texts
 
 
@@ -82,3 +83,16 @@ def test_texts_of_one_id_and_items_without_id(spark):
         assert [got[i]["sha"] for i in (1, 2, 3)] == [sha("1"), sha(""), sha("1")]
     kept = decontaminate.drop_contaminated(docs, benchmark)
     assert [r["doc_id"] for r in kept.collect()] == [4]
+
+
+def test_a_block_is_scanned_before_the_next_is_collected(spark, monkeypatch):
+    steps, real = [], decontaminate.windows
+    monkeypatch.setattr(decontaminate, "windows", lambda items: steps.append("block") or real(items))
+    monkeypatch.setattr(decontaminate, "scratch_path", lambda spark, label: steps.append(label) or scratch_path(spark, label))
+    benchmark = spark.createDataFrame([(i, f"item number {i} of many") for i in range(40)], "item_id long, text string")
+    docs = texts(spark, [(5, "an item number 7 of many"), (5, "item number 31 of many"), (None, "item number 7 of many"), (6, "none")])
+    found = decontaminate.find_passages(docs, benchmark, block_bytes=300)
+    assert steps == ["block", "hits"] * (len(steps) // 2) and len(steps) > 4
+    got = [(r["doc_id"], [h["item_id"] for h in r["hits"]]) for r in found.collect()]
+    assert sorted(got, key=str) == sorted([(5, ["7"]), (5, ["31"]), (None, ["7"]), (6, [])], key=str)
+    assert found.columns == ["doc_id", "n_words", "hits"]
