@@ -49,14 +49,14 @@ CURRENT = "v2"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_capitals"]
 
 
-def _covered(windows: Column, mask: Column) -> Column:
-    """Words inside repeated windows, from sorted longs that hold a window's hash above its position.
-
-    The position takes as many low bits as the text needs; the hash keeps the other 50 or so.
-    """
-    same = lambda x, y: x.bitwiseXOR(y).bitwiseAND(mask) == 0
-    repeated = F.filter(windows, lambda x, k: same(x, F.get(windows, k - 1)) | same(x, F.get(windows, k + 1)))
-    return F.sort_array(F.transform(repeated, lambda x: x.bitwiseAND(F.bitwise_not(mask))))
+def _covered(windows: Column) -> Column:
+    """First words of repeated windows in order, from sorted (hash, position) pairs; the hash keeps all its 64 bits."""
+    same = lambda x, y: x["hash"] == y["hash"]
+    away = F.lit(False)
+    repeated = F.filter(
+        windows, lambda x, k: F.coalesce(same(x, F.get(windows, k - 1)), away) | F.coalesce(same(x, F.get(windows, k + 1)), away)
+    )
+    return F.sort_array(F.transform(repeated, lambda x: x["at"]))
 
 
 def measure(docs: DataFrame, carry: list[str] = []) -> DataFrame:
@@ -76,17 +76,16 @@ def measure(docs: DataFrame, carry: list[str] = []) -> DataFrame:
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         (F.length("_text") - F.length(F.regexp_replace("_text", "[A-Z]+", ""))).cast("long").alias("n_capitals"),
-        F.call_function("shiftleft", F.lit(-1).cast("long"), F.length(F.bin(F.size("_words")))).alias("_mask"),
     )
     hashed = lambda i: F.xxhash64(*(F.get("_words", i + k) for k in range(3)))
     windows = F.when(
         F.col("n_words") >= 3,
         F.sort_array(F.transform(
-            F.sequence(zero, F.col("n_words") - 3), lambda i: hashed(i).bitwiseAND(F.col("_mask")).bitwiseOR(i)
+            F.sequence(zero, F.col("n_words") - 3), lambda i: F.struct(hashed(i).alias("hash"), i.alias("at"))
         )),
     )
     step = step.withColumn("_windows", windows).drop("_words")
-    step = step.withColumn("_at", _covered(F.col("_windows"), F.col("_mask"))).drop("_windows")
+    step = step.withColumn("_at", _covered(F.col("_windows"))).drop("_windows")
     gained = F.transform("_at", lambda x, k: F.coalesce(F.least(F.get("_at", k + 1) - x, F.lit(3)), F.lit(3)).cast("long"))
     covered = F.coalesce(F.aggregate(gained, zero, lambda total, x: total + x), zero)
     return step.withColumn("n_repeat_words", covered).select("doc_id", *carry, *MEASURES)

@@ -45,3 +45,10 @@ def test_odd_rows(spark):
     docs = documents(spark)
     kept = quality.reject(docs)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} <= {7, 8}
+
+
+def test_windows_that_share_leading_hash_bits_are_not_repeats(spark):
+    # The hashes of the two windows agree in their 46 leading bits.
+    text = " ".join(["a b w7299867", *(f"f{i}" for i in range(140_000)), "a b w30315797"])
+    assert plain(text)[4] == 0
+    assert quality.measure(texts(spark, [(1, text), (2, f"{text} {text}")])).orderBy("doc_id").select("n_repeat_words").collect() == [(0,), (280_012,)]
