@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hostpulse.llm import decontaminate, language_id, line_dedup, near_dup, packing, pii, quality, sharding, simhash, token_files, url_filter
+from hostpulse.llm import conversations, decontaminate, language_id, line_dedup, near_dup, packing, pii, quality, sharding, simhash, token_files, url_filter
 from hostpulse.llm.common import table
 
 
@@ -75,6 +75,11 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.link_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return conversations.repair(given, conversations.damage(given)).report()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_line_dedup": op2_line_dedup,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_url_filter": op10_url_filter,
     "op12_simhash": op12_simhash,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _OP5 = r"""
