@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hostpulse.llm import conversations, decontaminate, language_id, line_dedup, near_dup, packing, pii, quality, sharding, simhash, token_files, url_filter
+from hostpulse.llm import conversations, decontaminate, language_id, line_dedup, near_dup, packing, pii, quality, sharding, simhash, spelling, token_files, url_filter
 from hostpulse.llm.common import table
 
 
@@ -71,6 +71,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, model, places=places)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.link_documents(table(spark, sf_dir, "documents"))
 
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_personal_data": op9_personal_data,
     "op10_url_filter": op10_url_filter,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_simhash": op12_simhash,
     "op13_conversation_repair": op13_conversation_repair,
 }
