@@ -1,25 +1,33 @@
-"""Folders of delimited log files with unknown separator and encoding -> one all-string table."""
+"""Folders of delimited log files with unknown separator and encoding -> one all-string table.
+
+The raw files are scanned once. The scan writes every line with the few numbers that decide its file's dialect (bytes, quotes,
+kind of text, separator), so that the next step reads numbers only. One row per file then holds its dialect and whether it was
+read whole; rows are parsed by joining the lines with that table. No list of files is gathered in a task or on the driver.
+
+Records that hold quoted line breaks are put together by parity: a line begins inside quotes if the number of quotes before it in
+its file is odd. Each split sums its own quotes, splits take the parity of those before them from the sums, and only the lines of
+such records are gathered, by the line on which their record starts, wherever the splits were cut.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from hostpulse.config import LOG_COLUMNS, SEPARATORS
 from hostpulse.functions.text import strip
+from hostpulse.session import materialise
+from hostpulse.sources.encodings import SINGLE_BYTE, decode_single_byte, likelihood, most_likely, upper_bytes
 
 # Defines "first" among copies: file name, then position in the file. A bare row id is not enough,
 # because Spark packs file splits into partitions by size.
 FILE_ORDER = ["_source_file", "_block_start", "_row_id"]
 _SCHEMA = ", ".join(f"{c} string" for c in LOG_COLUMNS)
-_UPPER_HALF = bytes(range(0x80, 0x100))
-# The bytes windows-1250 leaves undefined.
-_UNDEFINED_1250 = bytes([0x81, 0x83, 0x88, 0x90, 0x98])
-
-
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.option("pathGlobFilter", "*.csv").text(folder)
+#: Files up to which the table of dialects is broadcast to the lines (about 100 bytes a file).
+BROADCAST_FILES = 500_000
+ASCII, UTF8, OTHER = 0, 1, 2
+BOM_BYTES = 3
 
 
 def _separator_code(line: Column, width: int) -> Column:
@@ -31,97 +39,192 @@ def _separator_code(line: Column, width: int) -> Column:
     return code
 
 
-def scan_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per file with lines: path, file, lines, code (of the separator), encoding, multi_line.
+def scan_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line of the folder's *.csv files as bytes, with its place and what it tells about its file. Written, so one scan.
 
-    The first non-blank line decides the separator, all lines decide the encoding; a line with an odd number of quotes shows a
-    quoted line break. One scan; the aggregate per file split keeps numbers only, so it hashes and never sorts the text.
+    A file that breaks while it is read gives the lines up to there; `scan_files` finds it by its missing bytes.
     """
     line = F.col("value")
-    valid = F.is_valid_utf8(line)
-    undefined = reduce(
-        lambda a, b: a | b, [F.contains(line.cast("binary"), F.unhex(F.lit(f"{b:02X}"))) for b in _UNDEFINED_1250]
+    kind = (
+        F.when(~F.is_valid_utf8(line), OTHER).when(F.octet_length(line) == F.length(line), ASCII).otherwise(UTF8).cast("byte")
     )
-    base = len(SEPARATORS) + 1
-    lines = _lines(spark, folder).select(
+    raw = (
+        spark.read.option("pathGlobFilter", "*.csv").option("lineSep", "\n")
+        .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).text(folder)
+    )
+    lines = raw.select(
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.when(strip(line) != "", F.monotonically_increasing_id() * base + _separator_code(line, len(LOG_COLUMNS))).alias("head"),
-        valid.alias("utf8"),
-        (~valid & undefined).alias("not_1250"),
-        ((F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1).alias("odd"),
+        F.monotonically_increasing_id().alias("row"),
+        line.cast("binary").alias("value"),
+        F.octet_length(line).alias("bytes"),
+        kind.alias("kind"),
+        ((F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))) % 2).cast("byte").alias("odd"),
+        F.when(strip(line) != "", _separator_code(line, len(LOG_COLUMNS))).cast("byte").alias("code"),
     )
-    splits = lines.groupBy("path", "file", "block").agg(
-        F.min("head").alias("head"), F.count(F.lit(1)).alias("lines"),
-        F.bool_and("utf8").alias("utf8"), F.bool_or("not_1250").alias("not_1250"), F.bool_or("odd").alias("odd"),
+    return materialise(lines, "lines")
+
+
+def _listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Path, name and length of every *.csv file; contents are not opened."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    return listed.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), F.col("length")
     )
-    files = splits.groupBy("path", "file").agg(
-        F.min_by("head", F.when(F.col("head").isNotNull(), F.col("block"))).alias("head"),
-        F.sum("lines").alias("lines"), F.bool_and("utf8").alias("utf8"), F.bool_or("not_1250").alias("not_1250"), F.bool_or("odd").alias("odd"),
+
+
+def _splits(lines: DataFrame) -> DataFrame:
+    """Numbers of each file split; hashed, never sorted."""
+    base = len(SEPARATORS) + 1
+    return lines.groupBy("path", "block").agg(
+        F.min(F.when(F.col("code").isNotNull(), F.col("row") * base + F.col("code"))).alias("head"),
+        F.count(F.lit(1)).alias("lines"), F.sum("bytes").alias("bytes"), F.sum("odd").alias("odds"),
+        F.max("kind").alias("kind"),
     )
-    code = (F.col("head") % base).cast("int")
-    encoding = F.when(F.col("utf8"), "utf-8").when(~F.col("not_1250"), "windows-1250").otherwise("latin-1")
-    return files.select(
-        "path", "file", "lines", F.coalesce(code, F.lit(len(SEPARATORS))).alias("code"), encoding.alias("encoding"),
-        F.col("odd").alias("multi_line"),
+
+
+def _encodings(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """(path, encoding) of the files that are not UTF-8, by the likelihood of their upper bytes."""
+    wanted = files.where(F.col("kind") == OTHER).select("path")
+    counts = (
+        lines.where(F.col("kind") != ASCII).join(wanted, "path", "left_semi")
+        .select("path", F.explode(upper_bytes(F.col("value"))).alias("byte")).groupBy("path", "byte").agg(F.count(F.lit(1)).alias("n"))
     )
+    totals = counts.groupBy("path").agg(*[F.sum(F.col("n") * likelihood(F.col("byte"), e)).alias(e) for e in SINGLE_BYTE])
+    return totals.select("path", most_likely({e: F.col(f"`{e}`") for e in SINGLE_BYTE}).alias("likely"))
+
+
+def scan_files(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
+    """One row per file: path, file, length, lines, code (of the separator), encoding, multi_line, where its header is, reason.
+
+    `reason` says why a file is left out, NULL if it is read. The first non-blank line decides the separator, all lines decide the
+    encoding. A file of which fewer bytes came than it has was not read whole and is left out; only a byte order mark, which the
+    reader takes off, may be missing.
+    """
+    lines = scan_lines(spark, folder) if lines is None else lines
+    base = len(SEPARATORS) + 1
+    at = F.when(F.col("head").isNotNull(), F.col("block"))
+    files = _splits(lines).groupBy("path").agg(
+        F.min_by("head", at).alias("head"), F.min(at).alias("head_block"), F.sum("lines").alias("lines"), F.sum("bytes").alias("bytes"),
+        F.sum("odds").alias("odds"), F.max("kind").alias("kind"),
+    )
+    files = _listing(spark, folder).join(files, "path", "left")
+    files = materialise(files.where("length > 0"), "file-scan")
+    # The last line may end without a line break: one byte fewer than counted.
+    missing = F.col("length") - F.coalesce(F.col("bytes") + F.col("lines"), F.lit(0))
+    mark = missing.isin(BOM_BYTES, BOM_BYTES - 1)
+    whole = missing.isin(0, -1) | mark
+    code = F.coalesce((F.col("head") % base).cast("int"), F.lit(len(SEPARATORS)))
+    reason = (
+        F.when(~whole, F.concat(F.lit("broke off after "), F.coalesce("bytes", F.lit(0)), F.lit(" of "), F.col("length"), F.lit(" bytes")))
+        .when(code >= len(SEPARATORS), f"no header of {len(LOG_COLUMNS)} fields")
+    )
+    encoding = F.when(F.col("kind") == OTHER, F.col("likely")).when(mark, "utf-8-sig").otherwise("utf-8")
+    found = files.join(_encodings(lines, files), "path", "left").select(
+        "path", "file", "length", F.coalesce("lines", F.lit(0)).alias("lines"), code.alias("code"), encoding.alias("encoding"),
+        ((F.col("odds") > 0) & (F.col("odds") % 2 == 0)).alias("multi_line"),
+        "head_block", F.floor(F.col("head") / base).alias("head_row"), reason.alias("reason"),
+    )
+    return materialise(found, "files")
 
 
 def detect_dialects(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per file with a usable header: path, file, lines, separator, encoding, multi_line."""
-    return scan_files(spark, folder).filter(F.col("code") < len(SEPARATORS)).select(
+    """One row per file that is read: path, file, lines, separator, encoding, multi_line."""
+    return scan_files(spark, folder).where("reason is null").select(
         "path", "file", "lines", F.array(*map(F.lit, SEPARATORS))[F.col("code")].alias("separator"), "encoding", "multi_line"
     )
 
 
 def rejected_files(spark: SparkSession, folder: str) -> DataFrame:
     """One row per file that is left out: path, file, lines, reason. Files without a byte hold no rows and are not listed."""
-    reason = F.lit(f"no header of {len(LOG_COLUMNS)} fields").alias("reason")
-    return scan_files(spark, folder).where(F.col("code") >= len(SEPARATORS)).select("path", "file", "lines", reason)
+    return scan_files(spark, folder).where("reason is not null").select("path", "file", "lines", "reason")
+
+
+def _text() -> Column:
+    text = F.when(F.col("encoding").isin(*SINGLE_BYTE), decode_single_byte(F.col("value"), F.col("encoding")))
+    return text.otherwise(F.col("value").cast("string"))
+
 
+_RECORD = ["file", "code", "block", "row", "text"]
 
-def _read_dialect(spark: SparkSession, paths: list[str], separator: str, encoding: str, multi_line: bool) -> DataFrame:
-    """All files of one dialect; header skipped, short rows filled with NULL, long rows cut.
 
-    Single-byte text is read byte for byte as latin-1; windows-1250 then only needs its upper half
-    mapped, which avoids a session-wide switch for further character sets. Files with quoted line breaks are read unsplit. A file
-    that breaks while it is read fails the run: nothing is dropped without a trace.
+def _stitched(lines: DataFrame) -> DataFrame:
+    """Records of files with quoted line breaks, put together over line and split borders.
+
+    A split's lines are one group, as large as a split; a record's lines are gathered only if it has several.
     """
-    reader = (
-        spark.read.schema(_SCHEMA)
-        .option("header", True).option("sep", separator).option("mode", "PERMISSIVE")
-        .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    parity = (
+        lines.groupBy("path", "block").agg(F.sum("odd").alias("odds"))
+        .select("path", "block", (F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2).alias("parity"))
+    )
+    inside = Window.partitionBy("path", "block").orderBy("row")
+    odd_before = F.coalesce(F.sum("odd").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marked = lines.join(parity, ["path", "block"]).withColumn("quoted", (F.col("parity") + odd_before) % 2 == 1)
+    start = F.max(F.when(~F.col("quoted"), F.col("row"))).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    marked = materialise(marked.withColumn("start", start).drop("parity"), "quoted-lines")
+    # Lines before a split's first record belong to the last record that an earlier split starts.
+    last = F.last(F.when(F.col("start").isNotNull(), F.struct("block", "start")), ignorenulls=True).over(earlier)
+    carried = marked.groupBy("path", "block").agg(F.max("start").alias("start")).select("path", "block", last.alias("carried"))
+    whole = F.col("own_code").isNotNull() & ~F.col("quoted") & (F.col("odd") == 0)
+    single = marked.where(whole).withColumn("text", _text())
+    several = marked.where(F.col("quoted") | (F.col("odd") == 1)).join(carried, ["path", "block"]).withColumns({
+        "start_block": F.when(F.col("start").isNotNull(), F.col("block")).otherwise(F.col("carried.block")),
+        "start": F.coalesce("start", "carried.start"), "text": _text(),
+    })
+    joined = several.groupBy("path", "start_block", "start").agg(
+        F.any_value("file").alias("file"), F.any_value("code").alias("code"), F.any_value("head_block").alias("head_block"),
+        F.any_value("head_row").alias("head_row"), F.array_sort(F.collect_list(F.struct("block", "row", "text"))).alias("parts"),
+    ).select(
+        "file", "code", "head_block", "head_row", F.col("start_block").alias("block"), F.col("start").alias("row"),
+        F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text"),
     )
-    if encoding != "utf-8":
-        reader = reader.option("encoding", "ISO-8859-1")
-    rows = reader.csv(paths).select(
-        *LOG_COLUMNS,
-        F.col("_metadata.file_name").alias("_source_file"),
-        F.col("_metadata.file_block_start").alias("_block_start"),
-        F.monotonically_increasing_id().alias("_row_id"),
+    columns = [*_RECORD, "head_block", "head_row"]
+    return single.select(columns).unionByName(joined.select(columns))
+
+
+def _parsed(records: DataFrame) -> DataFrame:
+    """Fields of each record by its file's separator; short records are filled with NULL, long ones cut."""
+    # Without multiLine, line ends inside quotes would be rewritten. The carriage return of a record's end is not part of it.
+    options = {"mode": "PERMISSIVE", "quote": '"', "escape": '"', "multiLine": "true"}
+    record = F.rtrim("text", F.lit("\r"))
+    fields = reduce(
+        lambda rest, i: F.when(F.col("code") == i, F.from_csv(record, _SCHEMA, {**options, "sep": SEPARATORS[i]})).otherwise(rest),
+        range(len(SEPARATORS)), F.lit(None).cast(f"struct<{_SCHEMA.replace(' string', ':string')}>"),
+    )
+    return records.withColumn("fields", fields).select(
+        *[F.col(f"fields.{c}").alias(c) for c in LOG_COLUMNS],
+        F.col("file").alias("_source_file"), F.col("block").alias("_block_start"), F.col("row").alias("_row_id"),
     )
-    if encoding == "windows-1250":
-        pairs = [(a, b) for a, b in zip(_UPPER_HALF.decode("latin-1"), _UPPER_HALF.decode("cp1250", "replace")) if a != b]
-        before, after = "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
-        rows = rows.withColumns({c: F.translate(c, before, after) for c in LOG_COLUMNS})
-    return rows
 
 
 def read_log_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Raw table: the nine log columns as strings, the source file, and the position in it.
 
-    Files whose header does not have nine fields are left out. The list of files and their dialects is
-    the only thing that comes to the driver, as with any listing; rows are read per dialect, not per file.
+    Files that have no header of nine fields, or that break while they are read, are left out whole; `rejected_files` lists them.
     """
-    if not _lines(spark, folder).inputFiles():
+    if _listing(spark, folder).isEmpty():
         raise FileNotFoundError(f"no *.csv file in {folder}")
-    groups = (
-        detect_dialects(spark, folder)
-        .groupBy("separator", "encoding", "multi_line").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("separator", "encoding", "multi_line").collect()
-    )
-    if not groups:
+    lines = scan_lines(spark, folder)
+    return parse_lines(lines, scan_files(spark, folder, lines), folder)
+
+
+def parse_lines(lines: DataFrame, files: DataFrame, folder: str = "the folder") -> DataFrame:
+    """Rows of the scanned lines by the dialects of their files."""
+    used = files.where("reason is null").select("path", "file", "code", "encoding", "multi_line", "head_block", "head_row")
+    n = used.count()
+    if not n:
         raise RuntimeError(f"no file in {folder} has a usable header")
-    parts = [_read_dialect(spark, g["paths"], g["separator"], g["encoding"], g["multi_line"]) for g in groups]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def of(some: DataFrame, rows: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(some) if n <= BROADCAST_FILES else some, "path")
+
+    lines = lines.select("path", "block", "row", "value", "odd", F.col("code").alias("own_code"))
+    calm = of(used.where("not multi_line"), lines).where("own_code is not null").withColumn("text", _text())
+    quoted = of(used.where("multi_line"), lines)
+    columns = [*_RECORD, "head_block", "head_row"]
+    records = calm.select(columns)
+    if not used.where("multi_line").isEmpty():
+        records = records.unionByName(_stitched(quoted))
+    header = (F.col("block") == F.col("head_block")) & (F.col("row") == F.col("head_row"))
+    return _parsed(records.where(~header).select(*_RECORD))

@@ -2,7 +2,7 @@ import pytest
 
 from hostpulse.config import LOG_COLUMNS, RAW_HEADER
 from hostpulse.operators.cleaning import clean
-from hostpulse.sources.csv_logs import FILE_ORDER, detect_dialects, read_log_folder, rejected_files
+from hostpulse.sources.csv_logs import FILE_ORDER, detect_dialects, read_log_folder, rejected_files, scan_files, scan_lines
 
 ROW = ["1.1.1.1", "05/Feb/2018 06:25:05", "GET", "/", "HTTP/1.1", "200", "7", "-", "Mozilla"]
 
@@ -38,7 +38,7 @@ def folder(tmp_path):
 def test_dialects(spark, folder):
     found = {r.file: (r.separator, r.encoding) for r in detect_dialects(spark, folder).collect()}
     assert found == {
-        "comma.csv": (",", "utf-8"), "tab_crlf.csv": ("\t", "utf-8"), "semi_bom.csv": (";", "utf-8"),
+        "comma.csv": (",", "utf-8"), "tab_crlf.csv": ("\t", "utf-8"), "semi_bom.csv": (";", "utf-8-sig"),
         "pipe_1250.csv": ("|", "windows-1250"), "latin.csv": (",", "latin-1"), "blank_first.csv": (",", "utf-8"),
         "ragged.csv": (",", "utf-8"), "other_names.csv": (",", "utf-8"),
     }
@@ -96,3 +96,67 @@ def test_quoted_line_breaks_and_white_first_lines_lose_nothing(spark, tmp_path):
 def test_rejected_files_are_listed_with_their_reason(spark, folder):
     found = {r.file: (r.lines, r.reason) for r in rejected_files(spark, folder).collect()}
     assert found == {"eight.csv": (2, "no header of 9 fields")}
+
+
+def test_quoted_breaks_on_split_borders_equal_the_unsplit_read(spark, tmp_path):
+    """Every row has a quoted break and splits are shorter than a record, so that breaks and whole splits lie inside quotes."""
+    rows = []
+    for i in range(60):
+        agent = f'"{"x" * (i % 90)}\n\n{"y" * (i % 37)} ""{i}""\r\n, end"' if i % 3 else f'"{"long " * 60}\n{i}"'
+        rows.append(with_(host=f"h{i}", user_agent=agent, resource=f"/{i}" if i % 5 else '"/a\n/b"'))
+    (tmp_path / "big.csv").write_text(text(",", *rows), newline="")
+    (tmp_path / "calm.csv").write_text(text(",", *[with_(host=f"c{i}") for i in range(20)]))
+    (tmp_path / "lone.csv").write_text(text(",", with_(host="l1", user_agent='Mozilla "x'), with_(host="l2")))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 200)
+    try:
+        lines = scan_lines(spark, str(tmp_path))
+        assert lines.select("path", "block").distinct().count() > 40
+        files = {r.file: r.multi_line for r in scan_files(spark, str(tmp_path), lines).collect()}
+        raw = read_log_folder(spark, str(tmp_path))
+        assert "Format: Text" not in raw._jdf.queryExecution().toString()  # raw files are not read again
+        got = sorted(tuple(r[c] for c in LOG_COLUMNS) for r in raw.where("_source_file = 'big.csv'").collect())
+        order = [r.host for r in raw.where("_source_file = 'big.csv'").orderBy(*FILE_ORDER).collect()]
+        rest = {r.host for r in raw.where("_source_file <> 'big.csv'").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert files == {"big.csv": True, "calm.csv": False, "lone.csv": False}
+    reader = spark.read.schema(", ".join(f"{c} string" for c in LOG_COLUMNS)).option("multiLine", True).option("header", True)
+    unsplit = reader.option("escape", '"').csv(str(tmp_path / "big.csv"))
+    assert got == sorted(tuple(r) for r in unsplit.collect()) and len(got) == 60
+    assert order == [f"h{i}" for i in range(60)]
+    assert rest == {f"c{i}" for i in range(20)} | {"l1", "l2"}
+
+
+def test_a_file_that_breaks_while_read_is_listed_and_the_rest_is_read(spark, tmp_path):
+    good = text(",", *[with_(host=f"g{i}") for i in range(50)])
+    (tmp_path / "good.csv").write_text(good)
+    path = str(tmp_path / "bad.csv")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = files.create(hadoop)
+    stream.write(bytearray(text(",", *[with_(host=f"b{i}") for i in range(2000)]).encode()))
+    stream.close()  # beside it lies a file of checksums
+    with open(path, "r+b") as f:
+        f.seek(100_000)
+        f.write(b"#")
+    (tmp_path / "gone.csv").write_text(good)
+    raw = read_log_folder(spark, str(tmp_path))
+    assert {r._source_file for r in raw.select("_source_file").distinct().collect()} == {"good.csv", "gone.csv"}
+    found = rejected_files(spark, str(tmp_path)).collect()
+    assert [r.file for r in found] == ["bad.csv"] and "broke off after" in found[0].reason and 0 < found[0].lines < 2000
+
+
+def test_encodings_by_likelihood(spark, tmp_path):
+    cases = {
+        "polish.csv": ("Zażółć gęślą jaźń", "cp1250", "windows-1250"), "czech.csv": ("Příliš žluťoučký kůň", "cp1250", "windows-1250"),
+        "french.csv": ("“Où est l’été”, dit-elle — à Noël", "cp1252", "cp1252"), "german.csv": ("Größe über Maß", "latin-1", "latin-1"),
+        "plain.csv": ("ascii only", "ascii", "utf-8"), "mark.csv": ("żółw “é”", "utf-8-sig", "utf-8-sig"), "utf.csv": ("żółw “é”", "utf-8", "utf-8"),
+        "euro.csv": ("prix 5 € – naïve", "cp1252", "cp1252"),
+    }
+    for name, (words, codec, _) in cases.items():
+        body = text(";", *[with_(host=name, resource=words)] * 3)
+        (tmp_path / name).write_bytes(body.encode(codec) if name != "utf.csv" else body.rstrip("\n").encode())
+    found = {r.file: r.encoding for r in detect_dialects(spark, str(tmp_path)).collect()}
+    assert found == {name: encoding for name, (_, _, encoding) in cases.items()}
+    rows = {(r.host, r.resource) for r in read_log_folder(spark, str(tmp_path)).collect()}
+    assert rows == {(name, words) for name, (words, _, _) in cases.items()}
