@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hostpulse.config import LOG_COLUMNS, RAW_HEADER
+from hostpulse.config import FEATURES, LOG_COLUMNS, RAW_HEADER
 from hostpulse.operators.labels import label_if, risk_score, union_label
 from hostpulse.session import spread_small
 
@@ -47,30 +47,47 @@ def raw_log(spark: SparkSession, sf_dir: str, with_kind: bool = False) -> DataFr
     return both if with_kind else both.drop("_kind")
 
 
-# Separator, written encoding and referrer per event type. The referrers are the bytes of text in
-# windows-1250, and a byte windows-1250 does not know, written one byte per character.
-DIALECTS = {
-    "click": ("\t", "UTF-8", None),
-    "view": ("\t", "UTF-8", None),
-    "purchase": (";", "UTF-8", None),
-    "error": (",", "ISO-8859-1", "żółw".encode("cp1250").decode("latin-1")),
-    "signup": ("|", "ISO-8859-1", "é\x81"),
-}
+# File name, which rows, separator, written encoding, mark before the header, referrer. Referrers of single-byte files are the bytes
+# of text in their code page written one byte per character: windows-1250, a byte no code page knows, cp1252.
+DIALECTS = [
+    ("click", "_kind = 'click'", "\t", "UTF-8", "", None),
+    ("view", "_kind = 'view'", "\t", "UTF-8", "\ufeff", None),
+    ("purchase", "_kind = 'purchase'", ";", "UTF-8", "", 'first line\n"second"; line'),
+    ("error", "_kind = 'error'", ",", "ISO-8859-1", "", "żółw".encode("cp1250").decode("latin-1")),
+    ("signup", "_kind = 'signup' and _row_id % 2 = 0", "|", "ISO-8859-1", "", "é\x81"),
+    ("western", "_kind = 'signup' and _row_id % 2 = 1", "|", "ISO-8859-1", "", "“naïve” – œuvre".encode("cp1252").decode("latin-1")),
+]
+
+
+def _take(spark: SparkSession, parts: str, folder: str, name: str) -> None:
+    """Move the written part files to `folder` as <name>-<number>.csv."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    source = path(f"{parts}/part-*")
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(folder))
+    for i, part in enumerate(files.globStatus(source)):
+        files.rename(part.getPath(), path(f"{folder}/{name}-{i}.csv"))
 
 
 def write_mixed_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    """The raw log as CSV files of four separators and three encodings in one folder."""
+    """The raw log as CSV files of four separators and five encodings in one folder, some with quoted line breaks."""
     raw = raw_log(spark, sf_dir, with_kind=True)
-    for kind, (separator, encoding, referrer) in DIALECTS.items():
-        rows = raw.filter(F.col("_kind") == kind).withColumn("referrer", F.lit(referrer).cast("string"))
+
+    def write(rows: DataFrame, name: str, separator: str, encoding: str, empty: str = "") -> None:
+        parts = f"{folder}-parts/{name}"
         (
-            rows.select(*[F.col(c).alias(h) for c, h in zip(LOG_COLUMNS, RAW_HEADER)])
-            .write.mode("append").option("header", True).option("sep", separator).option("encoding", encoding)
-            .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .csv(folder)
+            rows.write.option("header", True).option("sep", separator).option("encoding", encoding).option("escape", '"')
+            .option("emptyValue", empty).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .csv(parts)
         )
+        _take(spark, parts, folder, name)
+
+    for name, wanted, separator, encoding, mark, referrer in DIALECTS:
+        rows = raw.where(wanted).withColumn("referrer", F.lit(referrer).cast("string"))
+        header = [mark + RAW_HEADER[0], *RAW_HEADER[1:]]
+        write(rows.select(*[F.col(c).alias(h) for c, h in zip(LOG_COLUMNS, header)]), name, separator, encoding)
     # Files without a usable header: a single column.
-    raw.filter(F.col("_kind") == "click").select("host").write.mode("append").option("header", True).csv(folder)
+    write(raw.where("_kind = 'click'").select("host"), "narrow", ",", "UTF-8", '""')
     return folder
 
 
@@ -89,3 +106,7 @@ def stand_in_scores(features: DataFrame) -> DataFrame:
         .withColumns({"label_if": label_if(score < -0.6), "label_secondary": label_if(odd), "risk_score_100": risk_score()})
         .withColumn("label_combined", union_label())
     )
+
+
+#: Weights of an SVM that is not fitted, so that its labels have an exact SQL twin.
+SVM_WEIGHTS = {f"z_{c}": -(1.0 + i) / 8 for i, c in enumerate(sorted(FEATURES))}

@@ -57,3 +57,5 @@ FLOOD_URL_RATIO = 0.05
 SCRAPER_URL_RATIO = 0.6
 # Label of the second detector.
 SECONDARIES = ["ocsvm", "dbscan"]
+# Corner from which the one-class SVM sees the windows, in deviations above the mean of every feature.
+SVM_ORIGIN = 3.0

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
@@ -23,7 +23,21 @@ class _Bracket:
 
 
 def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], bins: int = BINS) -> dict[str, list[float | None]]:
-    """Quantiles per column; NULLs are ignored, an empty column gives None. `df` should be a written table.
+    """Quantiles per column; NULLs are ignored, an empty column gives None. `df` should be a written table."""
+    ranked, sizes = _ranked(df, {c: lambda n, qs=qs: {r for q in qs for r in _neighbours(n, q)} for c, qs in wanted.items()}, bins)
+    return {c: [_interpolate(ranked, c, sizes[c], q) if sizes[c] else None for q in qs] for c, qs in wanted.items()}
+
+
+def nth_values(df: DataFrame, wanted: Mapping[str, int], bins: int = BINS) -> dict[str, float | None]:
+    """The value with so many values before it in the order of each column: one of the column's own values, bit for bit."""
+    ranked, _ = _ranked(df, {c: lambda n, r=r: {r} if r < n else set() for c, r in wanted.items()}, bins)
+    return {c: ranked.get((c, r)) for c, r in wanted.items()}
+
+
+def _ranked(
+    df: DataFrame, wanted: Mapping[str, Callable[[int], set[int]]], bins: int,
+) -> tuple[dict[tuple[str, int], float], dict[str, int]]:
+    """Values at the ranks that are asked for, given the number of values of a column.
 
     Every sought rank is narrowed to the value that holds it. Each pass counts the rows of the open brackets per bin (a map-side
     combined group-by that returns at most brackets x bins rows) and keeps only the bin of each rank. It ends when a bin holds
@@ -38,7 +52,7 @@ def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], bins: int =
     brackets = []
     for c in columns:
         n = edge[c]["n"]
-        ranks = sorted({r for q in wanted[c] for r in _neighbours(n, q)}) if n else []
+        ranks = sorted(wanted[c](n)) if n else []
         if ranks:
             brackets.append(_Bracket(c, edge[c]["low"], edge[c]["high"], 0, ranks))
     while brackets:
@@ -46,11 +60,7 @@ def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], bins: int =
         for b in done:
             ranked.update({(b.column, r): b.low for r in b.ranks})
         brackets = _narrow(values, [b for b in brackets if b.low < b.high], bins)
-    result = {}
-    for c in columns:
-        n = edge[c]["n"]
-        result[c] = [_interpolate(ranked, c, n, q) if n else None for q in wanted[c]]
-    return result
+    return ranked, {c: edge[c]["n"] for c in columns}
 
 
 def _neighbours(n: int, q: float) -> tuple[int, int]:

@@ -210,14 +210,17 @@ _REPORT = f"""select host, window_start, {_ROUNDED.replace('round(bytes_std, 6)
     anomaly_type from scored where label_combined = -1"""
 ORACLES["anomaly_report"] = _day_scored(_REPORT)
 ORACLES["anomaly_report_csv"] = _day_scored(_REPORT)
-_REFERRER = "case kind when 'error' then 'żółw' when 'signup' then 'é' || chr(129) end as referrer"
+_FILE = "case when kind = 'signup' and _row_id % 2 = 1 then 'western' else kind end"
+_REFERRER = """case kind when 'error' then 'żółw' when 'signup' then case when _row_id % 2 = 0 then 'é' || chr(129) else '“naïve” – œuvre' end
+    when 'purchase' then 'first line' || chr(10) || '"second"; line' end as referrer"""
 ORACLES["ingest_mixed_dialects"] = f"""with {RAW} select nullif(host, '') as host, datetime, method, resource, protocol, status,
-    nullif(bytes, '') as bytes, {_REFERRER}, user_agent from raw"""
+    nullif(bytes, '') as bytes, {_REFERRER}, user_agent, {_FILE} as _source_file from raw"""
 ORACLES["rejected_files"] = f"""with {RAW} select 'no header of 9 fields' as reason, count(*) as rows from raw where kind = 'click'"""
 ORACLES["csv_dialects"] = f"""with {RAW}
     select case kind when 'error' then ',' when 'purchase' then ';' when 'signup' then '|' else chr(9) end as separator,
-      case kind when 'error' then 'windows-1250' when 'signup' then 'latin-1' else 'utf-8' end as encoding,
-      count(*) as rows from raw group by all"""
+      case kind when 'error' then 'windows-1250' when 'signup' then case when _row_id % 2 = 0 then 'latin-1' else 'cp1252' end
+        when 'view' then 'utf-8-sig' else 'utf-8' end as encoding,
+      kind = 'purchase' as multi_line, sum(case when kind = 'purchase' then 2 else 1 end)::bigint as lines from raw group by all"""
 _E = [f"e{i}" for i in range(64)]
 ORACLES["dbscan_clusters"] = f"""with recursive
     x as (select vec_id, {", ".join(f"embedding[{i + 1}]::double as e{i}" for i in range(64))} from embeddings),
@@ -230,3 +233,16 @@ ORACLES["dbscan_clusters"] = f"""with recursive
     label as (select id, min(other) as cluster from reach group by id)
     select x.vec_id, coalesce(min(label.cluster), -1) as cluster
     from x join near on near.id = x.vec_id left join label on label.id = near.other group by x.vec_id"""
+
+_SVM_TERMS = [f"z_{c} * {-(1 + i) / 8}::double" for i, c in enumerate(sorted(FEATURES))]
+_SVM = f"""{STANDARDISED},
+totals as (select *, {" + ".join(_SVM_TERMS)} as total, {" + ".join(f"abs({t})" for t in _SVM_TERMS)} as terms from z),
+cut as (select total as rho from totals order by total limit 1 offset (select cast(floor(0.05::double * count(*)) as bigint) from totals)),
+sided as (select *, total - rho as margin, total - rho < -1e-9::double * (terms + abs(rho)) as below from totals, cut)"""
+ORACLES["svm_given_labels"] = f"with {_SVM} select host, window_start, cast(case when below then -1 else 1 end as tinyint) as label_secondary from sided"
+_SQUARE = sum(((1 + i) / 8) ** 2 for i in range(len(FEATURES)))
+ORACLES["svm_given_certificate"] = f"""with {_SVM}, one as (
+    select count(*) as n, {_SQUARE / 2}::double - any_value(rho) + avg(greatest(0, -margin)) / 0.05::double as objective,
+      avg(case when below then 1.0 else 0.0 end) as share_below from sided)
+    select n, round(objective, 6) as objective, round({-_SQUARE / 2}::double, 6) as dual, round(objective + {_SQUARE / 2}::double, 6) as gap,
+      round(share_below, 6) as share_below from one"""

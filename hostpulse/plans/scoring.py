@@ -8,12 +8,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Row, functions as F
 
 from hostpulse.config import (
-    CONTAMINATION, DBSCAN_EPS, DBSCAN_MIN_POINTS, FEATURES, SECONDARIES, SEED, SWEEP, SWEEP_TREES, TREES,
+    CONTAMINATION, DBSCAN_EPS, DBSCAN_MIN_POINTS, FEATURES, SECONDARIES, SEED, SVM_ORIGIN, SWEEP, SWEEP_TREES, TREES,
 )
 from hostpulse.operators.dbscan import dbscan_noise, near_core
 from hostpulse.operators.forest import Forest, add_scores, fit_forest
 from hostpulse.operators.labels import label_if, risk_score, union_label, union_vs_intersection
-from hostpulse.operators.ocsvm import fit_ocsvm, margin
+from hostpulse.operators.ocsvm import Model as SvmModel, below, solve, with_offsets
 from hostpulse.operators.quantiles import quantiles
 from hostpulse.operators.scaling import moments, standardise
 from hostpulse.operators.threats import classify, thresholds
@@ -21,7 +21,6 @@ from hostpulse.session import materialise
 
 KEYS = ["host", "window_start"]
 Z = [f"z_{c}" for c in FEATURES]
-SvmModel = tuple[dict[str, float], float]
 
 
 @dataclass(frozen=True)
@@ -42,20 +41,16 @@ class Scoring:
         return union_vs_intersection(self.scored)
 
 
-def _fit_svms(
-    z: DataFrame, scaler: Row, rows: int, nus: Sequence[float], seed: int, center: bool
-) -> dict[float, SvmModel]:
+def fit_svms(z: DataFrame, rows: int, nus: Sequence[float], seed: int = SEED, origin: float = SVM_ORIGIN) -> dict[float, SvmModel]:
     """One-class SVMs per nu, as weights and offset over the standardised columns.
 
-    On centred rows the optimum is w = 0 and nothing lies below the boundary. So the rows are scaled but not centred, unless
-    `center` asks for it; the shift then goes into the offset, as w.(z + m) - rho = w.z - (rho - w.m).
+    A linear one-class SVM parts the rows from an origin and flags those on its side. Around the mean (`origin` 0) the optimum is
+    w = 0, and from the corner of no activity it would flag the quietest windows. So rows are seen from a corner `origin`
+    deviations above the mean in every feature, and the nu share on the side of that corner is flagged.
     """
-    if center:
-        return fit_ocsvm(z, Z, KEYS, rows, nus, seed)
-    shift = {f"z_{c}": scaler[f"mean_{c}"] / scaler[f"std_{c}"] for c in FEATURES}
-    moved = z.select(*KEYS, *[(F.col(c) + F.lit(m)).alias(c) for c, m in shift.items()])
-    fitted = fit_ocsvm(moved, Z, KEYS, rows, nus, seed)
-    return {nu: (w, rho - sum(w[c] * m for c, m in shift.items())) for nu, (w, rho) in fitted.items()}
+    seen = z.select(*KEYS, *[(F.lit(origin) - F.col(c)).alias(c) for c in Z])
+    solved = solve(seen, Z, KEYS, rows, nus, seed)
+    return with_offsets(z, {nu: {c: -w for c, w in weights.items()} for nu, (weights, _) in solved.items()}, rows)
 
 
 def fit_and_score(
@@ -65,7 +60,7 @@ def fit_and_score(
     trees: int = TREES,
     seed: int = SEED,
     secondary: str = SECONDARIES[0],
-    svm_center: bool = False,
+    svm_origin: float = SVM_ORIGIN,
     eps: float = DBSCAN_EPS,
     min_points: int = DBSCAN_MIN_POINTS,
     sweep: Sequence[float] = SWEEP,
@@ -89,14 +84,14 @@ def fit_and_score(
 
     nus = sorted({contamination, *sweep}) if run_sensitivity else [contamination]
     core = None
-    svms = _fit_svms(z, scaler, rows, nus, seed, svm_center) if run_sensitivity or secondary == "ocsvm" else {}
+    svms = fit_svms(z, rows, nus, seed, svm_origin) if run_sensitivity or secondary == "ocsvm" else {}
     scored = add_scores(z, forest, Z, "_score", {"_sweep_score": sweep_trees} if run_sensitivity else None)
     if secondary == "dbscan":
         scored, core = dbscan_noise(scored, Z, eps, min_points)
     else:
-        scored = scored.withColumn("label_secondary", label_if(margin(svms[contamination]) < 0))
+        scored = scored.withColumn("label_secondary", label_if(below(svms[contamination])))
     if run_sensitivity:
-        scored = scored.withColumns({f"_svm_{i}": margin(svms[nu]) < 0 for i, nu in enumerate(sweep)})
+        scored = scored.withColumns({f"_svm_{i}": below(svms[nu]) for i, nu in enumerate(sweep)})
     scored = materialise(scored.drop(*Z), "scored")
 
     wanted = {"_score": [contamination]}
@@ -158,7 +153,7 @@ def score_with(
         raise ValueError("give the SVM or the DBSCAN core points")
     scored = add_scores(standardise(features, FEATURES, scaler), forest, Z, "_score")
     if svm is not None:
-        scored = scored.withColumn("label_secondary", label_if(margin(svm) < 0))
+        scored = scored.withColumn("label_secondary", label_if(below(svm)))
     else:
         scored = near_core(scored, dbscan_core, Z, eps)
     labelled = scored.select(

@@ -11,13 +11,13 @@ from hostpulse.config import FEATURES, LOG_COLUMNS, WINDOW_SECONDS
 from hostpulse.operators.cleaning import clean, type_columns
 from hostpulse.operators.dbscan import dbscan_clusters, dbscan_noise
 from hostpulse.operators.forest import add_scores, fit_forest
-from hostpulse.operators.labels import union_vs_intersection
-from hostpulse.operators.ocsvm import fit_ocsvm, margin
+from hostpulse.operators.labels import label_if, union_vs_intersection
+from hostpulse.operators.ocsvm import Model as SvmModel, below, certificate, with_offsets
 from hostpulse.operators.scaling import moments, scaler_table, standardise
 from hostpulse.operators.threats import classify, normal_percentiles, thresholds
 from hostpulse.operators.windows import build_features
 from hostpulse.plans import eda, report, stages
-from hostpulse.plans.scoring import KEYS, Z, Scoring, fit_and_score, score_with
+from hostpulse.plans.scoring import KEYS, Z, Scoring, fit_and_score, fit_svms, score_with
 from hostpulse.session import materialise, scratch_path
 from hostpulse.sources.csv_logs import detect_dialects, read_log_folder, rejected_files
 from hostpulse.sources.tables import load_models, read_table, save_models, write_report
@@ -27,7 +27,7 @@ DAY = 86_400
 _FRACTIONS = {
     "error_4xx_rate", "error_5xx_rate", "avg_bytes", "bytes_std", "bot_ua_rate", "anomaly_score_if", "risk_score_100",
     "mean", "std", "p50", "p90", "p99", "p99_9", "min_score", "max_score", "mean_score", "max_risk", "only_if_pct",
-    "only_secondary_pct", "intersection_pct", "union_pct", "lost_by_intersection_pct",
+    "only_secondary_pct", "intersection_pct", "union_pct", "lost_by_intersection_pct", "objective", "dual", "gap", "share_below",
 }
 #: Width of the `embedding` column; all of it is used.
 DIMENSIONS = 64
@@ -82,12 +82,14 @@ def _csv_folder(spark: SparkSession, sf: str) -> str:
 
 
 def ingest_mixed_dialects(spark: SparkSession, sf: str) -> DataFrame:
-    return read_log_folder(spark, _csv_folder(spark, sf)).select(*LOG_COLUMNS)
+    raw = read_log_folder(spark, _csv_folder(spark, sf))
+    return raw.select(*LOG_COLUMNS, F.regexp_extract("_source_file", "^[a-z]+", 0).alias("_source_file"))
 
 
 def csv_dialects(spark: SparkSession, sf: str) -> DataFrame:
     files = detect_dialects(spark, _csv_folder(spark, sf))
-    return files.groupBy("separator", "encoding").agg(F.sum(F.col("lines") - 1).alias("rows"))
+    lines = files.groupBy("separator", "encoding", "multi_line").agg(F.sum(F.col("lines") - 1).alias("lines"))
+    return lines.where("lines > 0")
 
 
 def rejected_log_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,12 +151,25 @@ def isolation_forest_embeddings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ocsvm_labels(spark: SparkSession, sf: str) -> DataFrame:
-    """Uncentred features, where the problem is well posed: at most a nu share lies below the boundary."""
-    features = _feature_table(spark, sf, DAY)
-    model = moments(features, FEATURES).first()
-    scaled = features.withColumns({f"z_{c}": F.col(c) / model[f"std_{c}"] for c in FEATURES})
-    fitted = fit_ocsvm(scaled, Z, KEYS, model["n"], [0.05])[0.05]
-    return scaled.select(*KEYS, F.when(margin(fitted) < 0, -1).otherwise(1).cast("tinyint").alias("label_secondary"))
+    z, rows = _z(spark, sf, DAY)
+    return z.select(*KEYS, label_if(below(fit_svms(z, rows, [0.05])[0.05])).alias("label_secondary"))
+
+
+def _given_svm(spark: SparkSession, sf: str, nu: float) -> tuple[DataFrame, SvmModel]:
+    z, rows = _z(spark, sf, DAY)
+    z = materialise(z, "z")
+    return z, with_offsets(z, {nu: adapters.SVM_WEIGHTS}, rows)[nu]
+
+
+def svm_given_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels of an SVM with given weights; its offset is the row value at the nu share."""
+    z, model = _given_svm(spark, sf, 0.05)
+    return z.select(*KEYS, label_if(below(model)).alias("label_secondary"))
+
+
+def svm_given_certificate(spark: SparkSession, sf: str) -> DataFrame:
+    z, model = _given_svm(spark, sf, 0.05)
+    return certificate(z, model, 0.05)
 
 
 def sensitivity_sweep(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,6 +235,8 @@ QUERIES: dict[str, Query] = {
     "dbscan_noise": dbscan_noise_labels,
     "dbscan_clusters": dbscan_cluster_ids,
     "ocsvm_labels": ocsvm_labels,
+    "svm_given_labels": svm_given_labels,
+    "svm_given_certificate": lambda s, d: rounded(svm_given_certificate(s, d)),
     "sensitivity_sweep": sensitivity_sweep,
     "scored_windows": lambda s, d: _fit(s, d).scored,
     "scored_windows_dbscan": lambda s, d: _fit(s, d, secondary="dbscan").scored,
