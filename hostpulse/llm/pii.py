@@ -3,7 +3,8 @@
 The patterns are the base and always stay: email, ip, card and phone, leftmost and without overlap within a kind. The field labels
 the words of a text as outside, or as the beginning or inside of a kind. It is trained on a small labelled table, by gradient
 steps on the conditional likelihood, and decoded by Viterbi over batches of word runs in numpy. Its spans are added where no base
-span is touched, so it finds what the patterns miss by form: numbers without a valid check digit, phones without a plus sign.
+span is touched, so it finds what the patterns miss by form: numbers without a valid check digit, phones without a plus sign, and
+secrets such as keys and tokens, a kind of its own. The table is filled from patterns with made-up digits and letters.
 
 A word without digit and without @ is outside by construction, so a text's best labelling falls apart into its runs of other
 words, and only these are decoded; that is the same result, not a short cut.
@@ -14,8 +15,9 @@ labelled table adds nothing; columns other than doc_id and text are ignored. All
 
 from __future__ import annotations
 
+import random
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,68 +27,58 @@ from pyspark.sql import DataFrame
 from hostpulse.llm.tokens import small_batches
 
 KINDS = ["email", "ip", "card", "phone"]
-LABELS = ["O", *(f"{side}-{kind}" for kind in KINDS for side in "BI")]
-#: The small labelled table: [kind:surface] marks a span, everything else is outside.
-LABELLED = """
-write to [email:anna.berg42@mail.example.org] before noon
-contact [email:info7@shop.example.com] or call [phone:+44 (020) 555-0199] today
-her address is [email:j.doe@example.net] and his is [email:k-lee9@example.co.uk]
-mail: [email:support@example.com],
-from [email:maria_02@post1.example.com] to [email:o'neil5@example.org]
-[email:first.last88@mail3.example.com]
-the server at [ip:10.20.30.40] did not answer
-blocked [ip:203.0.113.9] and [ip:198.51.100.77] last night
-login from [ip:172.16.254.1] failed
-[ip:8.8.4.4] is slow
-the host [ip:192.0.2.146] sent mail
-node [ip:97.51.17.173] is down,
-ping [ip:255.255.255.0]
-card [card:4539578763621486] was charged
-charge it to [card:4111 1111 1111 1111] please
-her number is [card:5500-0000-0000-0004] and it expires soon
-paid with [card:9807915762804490] yesterday
-the [card:4845168114407329] one
-[card:0810992847249404] thank you
-account [card:1219538112535716] is closed
-use [card:378282246310005] instead
-old card [card:6011000990139424], new card [card:3530111333300000]
-call [phone:+1 (974) 555-3436] now
-phone [phone:+49 30 901820] or [phone:+33 1 42 68 53 00]
-ring me at [phone:+1-202-555-0143] tonight
-my cell is [phone:(017) 555-7713] thanks
-office [phone:(212) 555-0100] is open
-dial [phone:555-867-5309] at once
-reach us under [phone:030-901820-17]
-the fax is [phone:+1 (132) 555-1352]
-tel [phone:+44 20 7946 0958].
-licensed under version 2.0 of the terms
-see chapter 12 on page 345
-in 1999 there were 25 people
-on 2024-01-30 at 12:30 we met
-the price is $19.99 or 1,299.00 in total
-python 3.13.1 and spark 4.1 run well
-about 3.5 million rows and 64 columns
-section 4.2.1 of part 7
-released under version 3
-token = "908038b7daaf91e65d1236974748794293dd8a0c" is set
-key = "5d190bd7c06284de91015a36974748794293dd8a"
-token = "abe29cfcdae4f03e1e339fcaa4c5bb6c83baff71" in the file
-secret "dcfdb11ccd0abddb2ddde3badcdddb4edddd5eddcdac9dd7"
-the hash 5f4dcc3b5aa765d61d8327deb882cf99 of it
-cards [card:7536784127813050] [card:4845168114407329] are lost
-commit 9f86d081884c7d659a2feaa0c55ad015 was fine
-room 101, floor 3, seat 27b
-it grew by 12% in 2019-2020
-the 3rd of 4 and the 2nd of 10
-isbn 978 was cited 1500 times
-10 20 30 40 50
-win 1000000 points at 100 to 1
-figure 7b and table 12a
+#: Kinds of spans: those of the patterns, and keys and tokens, which only the field finds.
+FOUND = [*KINDS, "secret"]
+LABELS = ["O", *(f"{side}-{kind}" for kind in FOUND for side in "BI")]
+#: Lines of the labelled table; [kind:slot] marks a span that is filled with made-up digits and letters, {slot} fills outside of any
+#: span. Nothing here is taken from a corpus.
+PATTERNS = """
+write to [email:mail] before noon
+his address is [email:mail], hers is [email:mail]
+from [email:mail] to [email:mail]
+the server at [ip:ip] did not answer
+login from [ip:ip] failed, then from [ip:ip]
+ping [ip:ip]
+card [card:card] was charged
+charge it to [card:spaced] please
+her number is [card:dashed] and it expires soon
+[card:card] thank you
+cards [card:card] and [card:amex] are lost
+call [phone:plus] today
+ring me at [phone:area] tonight
+office [phone:dashes] is open
+reach us under [phone:local]
+the fax is [phone:plus], the phone [phone:area]
+token = "[secret:hex]" is set
+api_key: [secret:mixed]
+password "[secret:hex]" in the file
+export SECRET=[secret:prefixed]
+the bearer [secret:mixed] was sent
+"[secret:hex]"
+use [secret:prefixed] for now
+commit {hash} was fine
+the checksum {hash} of it
+licensed under version {small}.{small} of the terms
+see chapter {small} on page {small}
+in {year} there were {small} people
+on {year}-{two}-{two} at {two}:{two} we met
+the price is ${small}.{two} or {small},{three}.{two} in total
+python {small}.{small}.{small} and spark {small}.{small} run well
+about {small}.{small} million rows and {small} columns
+room {three}, floor {small}, seat {two}b
+it grew by {small}% in {year}-{year}
+the {small}rd of {small} and the {small}nd of {two}
+{two} {two} {two} {two} {two}
+win {three}0000 points at {three} to {small}
+figure {small}b and table {two}a
 @home and @work are words
-a 5-4 win and a 10-0 loss
-x1 y2 z3
+a {small}-{small} win and a {two}-{small} loss
+x{small} y{small} z{small}
+order {six} of {year}
 """
-EPOCHS = 60
+#: Times that every pattern is filled.
+FILLINGS = 8
+EPOCHS = 25
 RATE = 0.5
 DECAY = 1e-3
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -99,12 +91,57 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+#: Added to the score of a label that a word's form rules out.
+_BARRED = -1e9
 _ROUGH = str.maketrans(
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "X" * 26 + "x" * 26 + "d" * 10
 )
 Span = tuple[int, int]
 
 
+# ---- the labelled table ----------------------------------------------------------------------------------------------------
+
+def _slots(rng: random.Random) -> dict[str, Callable[[], str]]:
+    """Made-up values by slot."""
+    def digits(n: int) -> str:
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    def letters(n: int, of: str = "abcdefghijklmnopqrstuvwxyz") -> str:
+        return "".join(rng.choice(of) for _ in range(n))
+
+    def mixed(n: int) -> str:
+        word = letters(n, "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+        return word if any(map(str.isdigit, word)) else word[:-1] + digits(1)
+
+    def hexed(n: int) -> str:
+        word = letters(n, "0123456789abcdef")
+        return word if any(map(str.isdigit, word)) else digits(1) + word[1:]
+
+    return {
+        "mail": lambda: f"{letters(rng.randint(2, 7))}{rng.choice(['', '.', '_', '-'])}{letters(4)}{digits(rng.randint(0, 2))}"
+        f"@{letters(rng.randint(3, 8))}.{rng.choice(['', letters(5) + '.'])}{letters(rng.randint(2, 3))}",
+        "ip": lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4)),
+        "card": lambda: digits(16), "amex": lambda: digits(15), "spaced": lambda: " ".join(digits(4) for _ in range(4)),
+        "dashed": lambda: "-".join(digits(4) for _ in range(4)),
+        "plus": lambda: f"+{rng.randint(1, 98)} {rng.choice(['(' + digits(3) + ')', digits(2)])} {digits(3)}{rng.choice(' -')}{digits(4)}",
+        "area": lambda: f"({digits(3)}) {digits(3)}-{digits(4)}", "dashes": lambda: f"{digits(3)}-{digits(3)}-{digits(4)}",
+        "local": lambda: f"0{digits(2)}-{digits(6)}-{digits(2)}",
+        "hex": lambda: (str.upper if rng.random() < 0.3 else str)(hexed(rng.choice([32, 40, 40, 48, 64]))),
+        "mixed": lambda: mixed(rng.randint(20, 44)), "prefixed": lambda: f"{letters(2)}{rng.choice('-_')}{mixed(rng.randint(18, 36))}",
+        "hash": lambda: hexed(rng.choice([7, 8, 10, 12])), "small": lambda: str(rng.randint(1, 99)), "two": lambda: digits(2),
+        "three": lambda: digits(3), "six": lambda: digits(6), "year": lambda: str(rng.randint(1900, 2099)),
+    }
+
+
+def labelled(patterns: str = PATTERNS, fillings: int = FILLINGS, seed: int = 11) -> list[str]:
+    """The labelled table: every pattern filled several times, [kind:surface] marks a span."""
+    slots = _slots(random.Random(seed))
+    lines = [line for line in patterns.strip().split("\n") for _ in range(fillings)]
+    lines = [re.sub(r"\[(\w+):(\w+)\]", lambda m: f"[{m[1]}:{slots[m[2]]()}]", line) for line in lines]
+    return [re.sub(r"\{(\w+)\}", lambda m: slots[m[1]](), line) for line in lines]
+
+
 # ---- base patterns ---------------------------------------------------------------------------------------------------------
 
 def emails(text: str) -> list[Span]:
@@ -172,10 +209,16 @@ def features(words: list[str], k: int) -> list[str]:
     """Names of the features of word k: shapes of it and its neighbours, counts, and where it stands in its run."""
     word, before, after = words[k], words[k - 1] if k else "", words[k + 1] if k + 1 < len(words) else ""
     digits, core = len(_DIGIT.findall(word)), word.strip(_EDGE)
+    if len(core) > 12 and (core[0], core[-1]) == ("(", ")"):
+        core = core[1:-1]
+    hexed = bool(_HEX.fullmatch(core)) and not core.isdigit()
+    lettered = bool(digits) and any(map(str.isalpha, core))
+    said = next((w for w in (words[j].strip(_EDGE) for j in range(k - 1, max(k - 4, -1), -1)) if w), "")
     return [
         "bias", f"s={_shape(core)}", f"S={re.sub(r'(.)\1+', r'\1', core.translate(_ROUGH))}", f"n={min(digits, 20)}",
         f"dots={min(core.count('.'), 4)}", f"at={'@' in word}", f"dash={min(core.count('-'), 3)}", f"all={core.isdigit()}",
-        f"mixed={bool(digits) and any(map(str.isalpha, core))}", f"first={core[:1].translate(_ROUGH)}", f"len={min(len(core), 24) // 2}",
+        f"mixed={lettered}", f"form={hexed}{lettered}{min(len(core), 32) // 8}{'@' in core}", f"first={core[:1].translate(_ROUGH)}", f"len={min(len(core), 40) // 2}",
+        f"hex={hexed}", f"said={said.lower()[:20]}",
         f"p={_shape(before.strip(_EDGE))[:12] if _TELLING.search(before) else 'x'}",
         f"q={_shape(after.strip(_EDGE))[:12] if _TELLING.search(after) else 'x'}",
     ]
@@ -191,7 +234,16 @@ class Field:
 
     def scores(self, words: list[str], k: int) -> np.ndarray:
         known = [self.index[f] for f in features(words, k) if f in self.index]
-        return self.weights[known].sum(0)
+        return self.weights[known].sum(0) + _barred(words[k])
+
+
+def _barred(word: str) -> np.ndarray:
+    """0 for the labels that a word may have: an email begins with a word that holds an @, and only an email does."""
+    out = np.zeros(len(LABELS))
+    for k, label in enumerate(LABELS):
+        if label == "I-email" or label != "O" and (label == "B-email") != ("@" in word):
+            out[k] = _BARRED
+    return out
 
 
 def _allowed() -> np.ndarray:
@@ -245,17 +297,18 @@ def _sum_exp(x: np.ndarray, axis: int) -> np.ndarray:
 
 def train(lines: Iterable[str] | None = None, epochs: int = EPOCHS, rate: float = RATE, decay: float = DECAY) -> Field:
     """Stochastic gradient ascent (AdaGrad) on the log likelihood; order and start are fixed, so equal tables give equal fields."""
-    examples = parse_labelled(LABELLED.strip().split("\n") if lines is None else lines)
+    examples = parse_labelled(labelled() if lines is None else lines)
     index: dict[str, int] = {}
     rows = []
     for words, labels, a, b in examples:
-        rows.append(([[index.setdefault(f, len(index)) for f in features(words, k)] for k in range(a, b)], labels[a:b]))
+        found = [[index.setdefault(f, len(index)) for f in features(words, k)] for k in range(a, b)]
+        rows.append((found, labels[a:b], np.stack([_barred(w) for w in words[a:b]])))
     size, allowed = len(LABELS), _allowed()
     weights, steps = np.zeros((len(index), size)), np.zeros((size, size))
     past_w, past_s = np.full_like(weights, 1e-6), np.full_like(steps, 1e-6)
     for _ in range(epochs):
-        for found, labels in rows:
-            emit = np.stack([weights[f].sum(0) for f in found])
+        for found, labels, barred in rows:
+            emit = np.stack([weights[f].sum(0) for f in found]) + barred
             move = steps + allowed
             n = len(labels)
             ahead, back = np.zeros((n, size)), np.zeros((n, size))
@@ -330,8 +383,8 @@ def _tagged(field: Field, texts: list[str]) -> list[list[tuple[str, int, int]]]:
             while end < len(labels) and LABELS[labels[end]] == f"I-{kind}":
                 end += 1
             a, b = places[k][0], places[end - 1][1]
-            surface = texts[d][a:b]
-            a, b = a + len(surface) - len(surface.lstrip(_EDGE)), b - (len(surface) - len(surface.rstrip(_EDGE)))
+            surface, edge = texts[d][a:b], _EDGE + "()" * (kind == "secret")
+            a, b = a + len(surface) - len(surface.lstrip(edge)), b - (len(surface) - len(surface.rstrip(edge)))
             if a < b:
                 out[d].append((kind, a, b))
             k = end
@@ -344,7 +397,7 @@ def find(texts: list[str], field: Field) -> list[tuple[dict[str, list[Span]], di
     for text, added in zip(texts, _tagged(field, texts), strict=True):
         base = base_spans(text) if _TELLING.search(text) else {k: [] for k in KINDS}
         taken = sorted(s for spans in base.values() for s in spans)
-        every = {kind: list(spans) for kind, spans in base.items()}
+        every = {kind: list(base.get(kind, ())) for kind in FOUND}
         starts, reach = [s[0] for s in taken], np.maximum.accumulate([s[1] for s in taken]) if taken else []
         for kind, a, b in added:
             before = int(np.searchsorted(starts, b, side="left"))  # base spans that begin before the end of this one
@@ -355,7 +408,7 @@ def find(texts: list[str], field: Field) -> list[tuple[dict[str, list[Span]], di
 
 
 def _joined(spans: dict[str, list[Span]]) -> str:
-    return ",".join(f"{kind}:{a}:{b}" for kind in KINDS for a, b in spans[kind])
+    return ",".join(f"{kind}:{a}:{b}" for kind in FOUND for a, b in spans.get(kind, ()))
 
 
 def _detect(field: Field):

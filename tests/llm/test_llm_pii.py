@@ -52,16 +52,56 @@ def test_viterbi_is_the_best_labelling():
 
 def test_the_field_learns_its_table_and_adds_spans():
     field = pii.train()
-    for words, labels, a, b in pii.parse_labelled(pii.LABELLED.strip().split("\n")):
+    wrong = total = 0
+    for words, labels, a, b in pii.parse_labelled(pii.labelled()):
         (found,) = pii.viterbi([[field.scores(words, k) for k in range(a, b)]], field.steps)
-        assert found.tolist() == labels[a:b], words[a:b]
+        wrong += found.tolist() != labels[a:b]
+        total += 1
+    assert wrong <= 0.03 * total
     text = "call (044) 555-1212 or pay with 1234567812345678, version 2.0 of 2019; mail x.y9@mail.example.net"
     base, every = pii.find([text], field)[0]
     assert base == plain(text)
     surfaces = {kind: [text[a:b] for a, b in spans] for kind, spans in every.items()}
-    assert surfaces == {"email": ["x.y9@mail.example.net"], "ip": [], "card": ["1234567812345678"], "phone": ["(044) 555-1212"]}
-    clean = "the 3 of 12 were 45 and token = \"908038b7daaf91e65d1236974748794293dd8a0c\" in version 2.0."
-    assert pii.find([clean], field)[0] == ({k: [] for k in pii.KINDS},) * 2
+    assert surfaces == {"email": ["x.y9@mail.example.net"], "ip": [], "card": ["1234567812345678"], "phone": ["(044) 555-1212"], "secret": []}
+    clean = "the 3 of 12 were 45 in version 2.0. of 2019-07-14, 1,299.50 paid"
+    assert pii.find([clean], field)[0] == ({k: [] for k in pii.KINDS}, {k: [] for k in pii.FOUND})
+
+
+def test_added_spans_of_held_out_texts():
+    """Precision and recall of what the field adds, on sentences and values it has not seen."""
+    patterns = """
+    TOKEN = "[secret:hex]"!! of the SERVER
+    auth ([secret:prefixed]) since {year}
+    "[secret:mixed]"
+    bitte [card:card]$$$ abbuchen
+    la tarjeta [card:card] y [card:spaced]
+    llame al [phone:area] hoy
+    numero [phone:dashes], gracias
+    {year} tuvo {three} casos y {small}.{small} millones
+    cap. {small}, p. {three}; {two}/{two}/{year}
+    v{small}.{small}.{small} build {six}
+    EUR {three},{three}.{two} total
+    """
+    lines = pii.labelled("\n".join(x.strip() for x in patterns.strip().split("\n")), 60, seed=5)
+    field = pii.train()
+    hit = said = there = 0
+    for line in lines:
+        plain_text, want, at = "", set(), 0
+        for m in pii._MARK.finditer(line):
+            plain_text += line[at:m.start()]
+            want.add((m[1], len(plain_text), len(plain_text) + len(m[2])))
+            plain_text += m[2]
+            at = m.end()
+        plain_text += line[at:]
+        base, every = pii.find([plain_text], field)[0]
+        old = {(k, a, b) for k in base for a, b in base[k]}
+        added = {(k, a, b) for k in every for a, b in every[k]} - old
+        hit += len(added & want)
+        said += len(added)
+        there += len(want - old)
+    assert there > 200 and hit / said >= 0.9 and hit / there >= 0.9, (hit, said, there)
+    for text in ("sk-ab12CD34ef56GH78ij90kl12", "see a1b2", "@ 12", "12@"):
+        assert all("@" in text[a:b] for a, b in pii.find([text], field)[0][1]["email"])
 
 
 def test_odd_rows(spark):
