@@ -1,8 +1,8 @@
 """Token ids of whole texts with a public tokenizer, as Arrow batches.
 
 Byte-level BPE never joins across a space that stands between two visible characters, nor across such a line break. A text
-without other white space is therefore cut there, and each distinct piece is encoded once per worker process; all other texts
-go to the tokenizer whole. Both ways give the tokenizer's own ids (tested on random texts).
+without other white space and without an added token is therefore cut there, and each distinct piece is encoded once per worker
+process; all other texts go to the tokenizer whole. Both ways give the tokenizer's own ids (tested on random texts).
 """
 
 from __future__ import annotations
@@ -55,7 +55,8 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's own threads only get in the way
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Texts of the tokenizer's added tokens; a text that holds one goes to the tokenizer whole.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.most = cache_pieces
         self._forget()
 
@@ -120,6 +121,7 @@ class Encoder:
         plain = [
             i for i, t in enumerate(texts)
             if t and t[0] not in " \n" and t[-1] not in " \n" and not any(d in t for d in _DOUBLE) and not _ODD.search(t)
+            and not any(a in t for a in self.added)
         ]
         parts = [(_HEAD + texts[i].replace("\n", f" \n {_HEAD}")).split(" ") for i in plain]
         if len(self.index) > self.most:

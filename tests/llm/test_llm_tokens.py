@@ -16,9 +16,7 @@ PARTS = [" ", "\n", "\t", ".", "'s", "a", "é", "1", "\x85", "\xa0", "\u180e", "
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def expected(tokenizer, text):
@@ -31,6 +29,7 @@ def test_encoder_gives_the_tokenizers_ids(tokenizer, cache):
     encoder = Encoder(tokenizer_path(), cache)
     for _ in range(6):
         rows = ["".join(random.choices(PARTS, k=random.randint(0, 20))) for _ in range(200)] + ["some plain words here.\nand there"] * 3
+        rows += ["a <|endoftext|> b", "<|endoftext|>", "plain words<|endoftext|>", "<|endoftext| >"]
         ids, counts = encoder.encode(rows)
         want = [expected(tokenizer, t) for t in rows]
         assert counts.tolist() == [len(w) for w in want]
