@@ -63,8 +63,17 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, k: int = SKETCH_K)
     return materialise(far.unionByName(near).select("line", "first.*"), "boilerplate")
 
 
-def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, k: int = SKETCH_K) -> DataFrame:
-    """The documents with boilerplate lines taken out of `text`, and `n_lines`, `n_removed` (of lines with a word).
+def _without(places: str) -> Column:
+    """`text` without the lines at the given places. The lines are bound once, so the work grows with the text."""
+    def joined(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(places))
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    return F.transform(F.array(F.split("text", "\n")), joined)[0]
+
+
+def _cleaned(docs: DataFrame, min_sites: int, k: int) -> DataFrame:
+    """row (the document's own columns), text without boilerplate, n_lines, n_removed.
 
     Only ids, hashes and places of boilerplate occurrences are regrouped; the texts move once, to meet their own list.
     """
@@ -79,24 +88,34 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, k: int = SKETCH_K)
     )
     found = _occurrences(docs.select("doc_id", "text", F.lit(None).cast("string").alias("source")))
     removed = found.join(first, "line").where(~is_first).groupBy("doc_id", "text_hash").agg(
-        F.collect_set("place").alias("_places")
-    ).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_places")
-    met = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text").join(
-        removed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left"
+        F.collect_set("place").alias("places")
+    ).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "places")
+    met = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text").join(
+        removed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash")), "left"
     )
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("_places", i)), "\n")
     return met.select(
-        *(F.when(F.col("_places").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col("_row")[c].alias(c)
-          for c in docs.columns),
+        "row", F.when(F.col("places").isNull(), F.col("text")).otherwise(_without("places")).alias("text"),
         F.size(F.coalesce(_lines(), F.array())).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_places"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 
+def _own(docs: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
+    return [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in without]
+
+
+def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, k: int = SKETCH_K) -> DataFrame:
+    """The documents with boilerplate lines taken out of `text`, and `n_lines`, `n_removed` (of lines with a word).
+
+    Columns of these two names that the documents have themselves are replaced.
+    """
+    return _cleaned(docs, min_sites, k).select(*_own(docs, ("n_lines", "n_removed")), "n_lines", "n_removed")
+
+
 def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """Documents with their own columns and cleaned texts; those that were nothing but boilerplate are left out.
 
     The first holder of a line keeps it, so a document that is left out has its every line elsewhere.
     """
-    cleaned = dedup_lines(docs, min_sites)
-    return cleaned.where("n_removed = 0 or n_removed < n_lines").select(*docs.columns)
+    cleaned = _cleaned(docs, min_sites, SKETCH_K)
+    return cleaned.where("n_removed = 0 or n_removed < n_lines").select(*_own(docs))

@@ -27,7 +27,8 @@ ROWS = [
 def documents(spark: SparkSession, clash: bool = True) -> DataFrame:
     """ROWS; with `clash`, columns named like what operators use inside."""
     df = spark.createDataFrame([(*r, None if r[1] is None else len(r[1])) for r in ROWS], DOCUMENTS)
-    names = ["rank", "shard", "line", "keys", "hits", "part", "ids", "row", "_row", "n_words", "component_id", "spans", "score"]
+    names = ["rank", "shard", "line", "keys", "hits", "part", "ids", "row", "_row", "n_words", "component_id", "spans", "score", "n_lines",
+             "n_removed", "_gone", "id", "places", "hash"]
     return df.withColumns({n: F.lit("clash") for n in names}) if clash else df
 
 

@@ -42,10 +42,18 @@ def test_many_sites_are_settled_by_the_sketch(spark):
 
 def test_odd_rows(spark):
     docs = documents(spark)
-    got = line_dedup.dedup_lines(docs.drop("n_words"), min_sites=2)
+    got = line_dedup.dedup_lines(docs, min_sites=2)
     assert got.count() == len(ROWS)
     by_id = {r["doc_id"]: r for r in got.collect()}
     assert by_id[4]["text"] is None and by_id[3]["text"] == "" and by_id[1]["n_removed"] == 0 and by_id[2]["n_removed"] == 2
-    kept = line_dedup.without_boilerplate(docs.drop("n_words"), min_sites=2)
-    assert kept.columns == docs.drop("n_words").columns and 2 not in {r["doc_id"] for r in kept.collect()}
+    kept = line_dedup.without_boilerplate(docs, min_sites=2)
+    assert kept.columns == docs.columns and 2 not in {r["doc_id"] for r in kept.collect()}
     assert line_dedup.dedup_lines(none(spark)).count() == 0
+
+
+def test_a_text_of_many_repeated_lines_takes_linear_time(spark):
+    """80,000 lines that stand elsewhere too; the quadratic removal took 25 s here."""
+    many = "\n".join(f"line {i % 1000}" for i in range(80_000))
+    rows = [(i, "\n".join(f"line {j}" for j in range(1000)), f"s{i}") for i in range(6)] + [(9, many + "\nown", "s9")]
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"]) for r in line_dedup.dedup_lines(texts(spark, rows)).collect()}
+    assert got[9] == (80_001, 80_000, "own") and got[0][1] == 0 and got[1][1] == 1000
