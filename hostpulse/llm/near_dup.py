@@ -238,6 +238,15 @@ def link_documents(
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group, with its own columns. Of rows that share a kept id, all stay."""
-    gone = link_documents(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One document of each group, with its own columns. Of rows that share a kept id, the one with the smallest text stays; rows
+    without an id are linked with nothing and stay."""
+    linked = materialise(link_documents(docs), "linked")
+    gone = linked.where("not kept").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id")
+    left = rows.join(gone, F.col("doc_id") == F.col("id"), "left_anti")
+    repeated = linked.where("kept").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("id"))
+    if repeated.isEmpty():
+        return left.select("row.*")
+    same = F.col("doc_id") == F.col("id")
+    first = left.join(repeated, same, "left_semi").groupBy("doc_id").agg(F.min_by("row", F.struct(F.col("row")["text"])).alias("row"))
+    return left.join(repeated, same, "left_anti").select("row").unionByName(first.select("row")).select("row.*")

@@ -89,5 +89,7 @@ def test_odd_rows(spark):
     assert {(2, 1), (12, 11), (8, 7), (3, 3), (4, 4), (9, 9), (None, None)} <= found
     kept = near_dup.keep_one(docs)
     assert kept.columns == docs.columns
+    again = near_dup.keep_one(docs.unionByName(docs.where("doc_id = 1")).where("doc_id in (1, 3)"))
+    assert sorted(r["doc_id"] for r in again.collect()) == [1, 3]
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([1, 3, 4, 5, 6, 7, 9, 10, 11, None])
     assert near_dup.link_documents(none(spark)).count() == 0
