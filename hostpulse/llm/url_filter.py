@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -38,8 +38,8 @@ SEEDS = [
 ]
 #: The shortest and longest word that the segmenter's dictionary takes from the pages.
 SHORTEST, LONGEST = 2, 20
-#: Letters whose substrings a task gathers at once.
-STRETCH = 10_000
+#: Starts of a run whose substrings are gathered and looked up together.
+STRETCH = 5_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -79,17 +79,35 @@ class Segmenter:
         self.unknown = math.log(total) + 2.0
 
     def split(self, run: str) -> list[str]:
-        best, back = [0.0] + [math.inf] * len(run), [0] * (len(run) + 1)
-        for end in range(1, len(run) + 1):
-            for start in range(max(0, end - LONGEST), end):
-                word = run[start:end]
-                cost = best[start] + self.cost.get(word, self.unknown + 3.0 * (end - start))
-                if cost < best[end]:
-                    best[end], back[end] = cost, start
+        search = Search(self.unknown)
+        search.advance(run, len(run), lambda word, at: self.cost.get(word))
+        return search.words(run)
+
+
+class Search:
+    """The Viterbi search over a run that comes in stretches: costs are kept for the last LONGEST places, and one back step a place."""
+
+    def __init__(self, unknown: float):
+        self.unknown = unknown
+        self.at, self.best, self.back = 0, [0.0], [0]
+
+    def advance(self, ahead: str, places: int, cost: Callable[[str, int], float | None]) -> None:
+        """Go on by `places` starts; `ahead` has the letters from the first of them, LONGEST - 1 beyond the last if the run has them."""
+        best = self.best + [math.inf] * (len(ahead) + 1 - len(self.best))
+        self.back += [0] * (self.at + len(ahead) + 1 - len(self.back))
+        for start in range(places):
+            for end in range(start + 1, min(start + LONGEST, len(ahead)) + 1):
+                known = cost(ahead[start:end], start)
+                there = best[start] + (self.unknown + 3.0 * (end - start) if known is None else known)
+                if there < best[end]:
+                    best[end], self.back[self.at + end] = there, self.at + start
+        self.at, self.best = self.at + places, best[places:]
+
+    def words(self, run: str) -> list[str]:
         words, end = [], len(run)
         while end:
-            words.append(run[back[end]:end])
-            end = back[end]
+            words.append(run[self.back[end]:end])
+            end = self.back[end]
         return words[::-1]
 
 
@@ -112,7 +130,7 @@ def _table(spark: SparkSession, given: DataFrame | dict, schema: str) -> DataFra
 
 def word_counts(pages: DataFrame, seeds: list[str] = SEEDS) -> DataFrame:
     """All words of the pages' html with their counts; seed words count at least as much as the median word."""
-    letters = F.explode(F.regexp_extract_all(F.lower(F.regexp_replace("html", "<[^>]*>", " ")), F.lit(r"(\p{L}+)"), F.lit(1)))
+    letters = F.explode(F.regexp_extract_all(F.lower(F.regexp_replace("html", "<[^<>]*>", " ")), F.lit(r"(\p{L}+)"), F.lit(1)))
     words = pages.select(letters.alias("word")).where(F.length("word").between(SHORTEST, LONGEST))
     counts = materialise(words.groupBy("word").count(), "page-words")
     n = counts.count()
@@ -132,42 +150,60 @@ def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ])
 
 
-def _substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(run, word): the run itself, and its substrings that a dictionary may hold, in batches of bounded size."""
-    runs, words = [], []
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, nth, ahead, words): a run by stretches of its starts, with the letters a word from there can reach, and its substrings that
+    a dictionary may hold."""
+    rows, held = [], 0
+
+    def gathered() -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [()] * 4
+        types = [pa.int64(), pa.int32(), pa.string(), pa.list_(pa.string())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["id", "nth", "ahead", "words"])
+
     for batch in batches:
-        for run in batch["run"].to_pylist():
-            for at in range(0, len(run), STRETCH):
+        for key, run in zip(batch["id"].to_pylist(), batch["run"].to_pylist()):
+            for nth, at in enumerate(range(0, len(run), STRETCH)):
+                ahead = run[at:at + STRETCH + LONGEST - 1]
                 found = {
-                    run[i:j] for i in range(at, min(at + STRETCH, len(run)))
-                    for j in range(i + SHORTEST, min(i + LONGEST, len(run)) + 1)
+                    ahead[i:j] for i in range(min(STRETCH, len(ahead))) for j in range(i + SHORTEST, min(i + LONGEST, len(ahead)) + 1)
                 }
-                found |= {run} if at == 0 else set()
-                runs += [run] * len(found)
-                words += found
-                if len(words) >= STRETCH:
-                    yield pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), pa.array(words, pa.string())], ["run", "word"])
-                    runs, words = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), pa.array(words, pa.string())], ["run", "word"])
+                rows.append((key, nth, ahead, list(found)))
+                held += len(found)
+                if held >= STRETCH:
+                    yield gathered()
+                    rows, held = [], 0
+    yield gathered()
 
 
 def _splits(total: int):
+    """Words of each run from its stretches in order, with the counts of the words that each stretch holds."""
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unknown, run, key, search = math.log(total + 1) + 2.0, [], None, None
         for batch in batches:
-            runs = batch["run"].to_pylist()
-            words = [
-                Segmenter({r["word"]: r["count"] for r in known}, total).split(run)
-                for run, known in zip(runs, batch["known"].to_pylist(), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch["run"], pa.array(words, pa.list_(pa.string()))], ["run", "words"])
+            done = []
+            for own, ahead, known in zip(*(batch[c].to_pylist() for c in ("id", "ahead", "known"))):
+                if own != key:
+                    if search:
+                        done.append((key, search.words("".join(run))))
+                    key, run, search = own, [], Search(unknown)
+                costs = {r["word"]: -math.log(r["count"] / (total + 1)) for r in known}
+                search.advance(ahead, min(STRETCH, len(ahead)), lambda word, _: costs.get(word))
+                run.append(ahead[:STRETCH])
+            yield _split_batch(done)
+        yield _split_batch([(key, search.words("".join(run)))] if search else [])
 
     return split
 
 
+def _split_batch(done: list[tuple[int, list[str]]]) -> pa.RecordBatch:
+    ids, words = zip(*done) if done else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.list_(pa.string()))], ["id", "words"])
+
+
 def segmented(pages: DataFrame, words: DataFrame | dict[str, int]) -> DataFrame:
     """The distinct places of the pages, written: place, host, path, count, tokens.
 
-    Every distinct run of letters is split once, with the counts of all dictionary words that it holds.
+    Every distinct run of letters is split once, with the counts of all dictionary words that it holds; a long run by stretches.
     """
     words = _table(pages.sparkSession, words, "word string, count long")
     total = words.agg(F.sum("count")).first()[0] or 0
@@ -177,10 +213,14 @@ def segmented(pages: DataFrame, words: DataFrame | dict[str, int]) -> DataFrame:
     places = materialise(places.withColumn("place", F.monotonically_increasing_id()), "url-places")
     each = places.select("place", F.posexplode("runs").alias("at", "marked"))
     each = each.select("place", "at", F.substring("marked", 1, 2).alias("side"), F.expr("substring(marked, 3)").alias("run"))
-    held = each.select("run").distinct().mapInArrow(_substrings, "run string, word string").join(words, "word", "left")
-    held = held.where(F.col("count").isNotNull() | (F.col("word") == F.col("run")))  # a run without known words stays too
-    known = F.collect_set(F.when(F.col("count").isNotNull(), F.struct("word", "count"))).alias("known")
-    splits = held.groupBy("run").agg(known).mapInArrow(_splits(total), "run string, words array<string>")
+    runs = materialise(each.select("run").distinct().withColumn("id", F.monotonically_increasing_id()), "url-run-ids")
+    stretches = materialise(runs.mapInArrow(_stretches, "id long, nth int, ahead string, words array<string>"), "url-stretches")
+    held = stretches.select("id", "nth", F.explode("words").alias("word")).join(words, "word")
+    known = held.groupBy("id", "nth").agg(F.collect_list(F.struct("word", "count")).alias("known"))
+    ordered = stretches.drop("words").join(known, ["id", "nth"], "left").withColumn(
+        "known", F.coalesce("known", F.array().cast("array<struct<word:string,count:bigint>>"))
+    ).repartition("id").sortWithinPartitions("id", "nth")
+    splits = ordered.mapInArrow(_splits(total), "id long, words array<string>").join(runs, "id").drop("id")
     splits = materialise(splits, "url-runs")
     found = each.join(splits, "run").select("place", F.struct("at", "side", "words").alias("part"))
     found = found.groupBy("place").agg(F.sort_array(F.collect_list("part")).alias("parts"))

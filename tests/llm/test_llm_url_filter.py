@@ -96,3 +96,15 @@ def test_rare_words_keep_their_own_counts(spark):
     assert got["/zq/Sussex/" + "q" * 30_000][:4] == ["h:m", "h:org", "p:zq", "p:sussex"]
     whole = uf.Segmenter(counts)
     assert got["/zq/Sussex/" + "q" * 30_000][4:] == [f"p:{w}" for w in whole.split("q" * 30_000)]
+
+
+def test_long_runs_of_many_substrings_and_open_tags(spark):
+    """100,000 letters that hardly repeat in a url; a megabyte of tags that never close."""
+    random.seed(5)
+    run = "".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000))
+    rows = [(1, f"http://m.org/{run}", "<" * 1_000_000), (2, "http://m.org/abc", f"<p>abc {run[5_000:5_012]} {run[4_995:5_004]}</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    words = uf.word_counts(pages)
+    got = {r["path"]: r["tokens"] for r in uf.segmented(pages, words).collect()}
+    whole = uf.Segmenter({r["word"]: r["count"] for r in words.collect()})
+    assert got[f"/{run}"][2:] == [f"p:{w}" for w in whole.split(run)] and len(got[f"/{run}"]) > 2_000
