@@ -1,52 +1,151 @@
-"""DBSCAN at any size: distinct points meet in grid cells, and neighbours are counted inside tasks.
+"""DBSCAN at any size: dense cells need no distances, other points meet in cells and are compared inside tasks.
 
-Equal vectors are one point with a weight. A point can only have neighbours in its own and the adjacent cells of a grid that is
-eps wide along the columns with the widest range, so points meet by an equi-join on cells. Crowded cells are cut into blocks of a
-bounded number of points, and every pair of blocks is a task's work. No pair of neighbours is written: tasks return a weight
-per point, a spanning forest of the links they saw, or a smallest label per point, each combined by an aggregate afterwards.
+Equal vectors are one point with a weight. A fine grid has cells of side eps / sqrt(d), so that all points of one cell are neighbours:
+a cell that holds min_points rows is dense, its points are core and belong together without a distance. Only points of
+other cells count their neighbours, and only core points of different clusters still look for links: dense cells are first
+joined through a few of their points, and where one component then holds a whole neighbourhood nothing is compared.
+
+Points that may be neighbours meet by an equi-join. Where columns span several eps, they meet in a coarse grid on the widest of them.
+Where none does, they meet at pivots: a point is at home with its nearest pivot, and can only have neighbours at the homes whose
+pivot is at most 2 eps further from it than its own, and no further than that home's radius and eps, by the triangle inequality.
+
+Crowded cells are cut into blocks of a bounded number of points, and every pair of blocks is a task's work. No pair of neighbours is
+written: tasks return a weight per point, a spanning forest of the links they saw, or a smallest label per point, each combined by
+an aggregate afterwards.
 """
 
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hostpulse.config import DBSCAN_EPS, DBSCAN_MIN_POINTS
 from hostpulse.operators.components import components
 from hostpulse.session import materialise
 
-#: Points of one side of a block pair, and columns that make up the grid.
+#: Points of one side of a block pair, columns that make up the coarse grid, and pivots where there is none.
 BLOCK_POINTS = 1_000
 GRID_COLUMNS = 3
+PIVOTS = 64
 _ROWS_AT_ONCE = 256
-
-
-def _grid(points: DataFrame, features: Sequence[str], eps: float) -> list[str]:
-    """The columns with the widest ranges, if they span more than one cell."""
+#: Rounding must neither part two neighbours nor put two points that are too far apart into one fine cell.
+_SLACK = 1e-9
+
+
+@dataclass(frozen=True)
+class _Grid:
+    """Cells eps wide along some columns; neighbours are in the same or an adjacent cell."""
+
+    columns: list[str]
+    eps: float
+
+    def _own(self) -> Column:
+        width = self.eps * (1 + _SLACK)
+        return F.array(*[F.floor(F.col(c) / width).cast("long") for c in self.columns])
+
+    def homes(self, points: DataFrame) -> DataFrame:
+        return points.withColumn("cell", self._own())
+
+    def others(self, points: DataFrame, homes: DataFrame) -> DataFrame:
+        steps = [F.array(*[F.lit(s).cast("long") for s in step]) for step in itertools.product((-1, 0, 1), repeat=len(self.columns))]
+        moved = points.withColumn("_own", self._own()).withColumn("_step", F.explode(F.array(*steps)))
+        return moved.withColumn("cell", F.zip_with("_own", "_step", lambda a, b: a + b)).drop("_own", "_step")
+
+
+@dataclass(frozen=True)
+class _Pivots:
+    """Homes at the nearest of a bounded number of pivots."""
+
+    pivots: np.ndarray
+    features: list[str]
+    eps: float
+
+    def _distances(self, points: DataFrame) -> DataFrame:
+        """Adds `_near`, the number of the nearest pivot, `_far`, the distance to it, and `_reach`, the homes that may hold neighbours."""
+        pivots, features, reach = self.pivots, self.features, 2 * self.eps * (1 + _SLACK)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                batch = batch if len(pivots) else batch.slice(0, 0)  # without points to draw from there are no homes
+                x = np.column_stack([batch[c].to_numpy(zero_copy_only=False) for c in features])
+                far = np.empty((len(x), len(pivots)))
+                for k, pivot in enumerate(pivots):
+                    far[:, k] = np.sqrt(((x - pivot) ** 2).sum(1))
+                near = far.argmin(1) if len(x) else np.empty(0, np.int64)
+                least = far[np.arange(len(x)), near]
+                homes = [
+                    [{"home": int(k), "far": float(row[k])} for k in np.flatnonzero(row <= limit)]
+                    for row, limit in zip(far, least * (1 + _SLACK) + reach)
+                ]
+                kind = pa.list_(pa.struct([("home", pa.int32()), ("far", pa.float64())]))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(near, pa.int32()), pa.array(least, pa.float64()), pa.array(homes, kind)],
+                    [*batch.schema.names, "_near", "_far", "_reach"],
+                )
+
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
+        return points.mapInArrow(run, f"{schema}, _near int, _far double, _reach array<struct<home:int,far:double>>")
+
+    def homes(self, points: DataFrame) -> DataFrame:
+        return self._distances(points).withColumn("cell", F.array(F.col("_near").cast("long"))).drop("_near", "_reach")
+
+    def others(self, points: DataFrame, homes: DataFrame) -> DataFrame:
+        radius = homes.groupBy("cell").agg(F.max("_far").alias("radius")).select(F.col("cell")[0].cast("int").alias("_home"), "radius")
+        placed = self._distances(points).withColumn("_at", F.explode("_reach")).drop("_near", "_far", "_reach")
+        met = placed.join(F.broadcast(radius), F.col("_at.home") == F.col("_home"))  # a row per pivot
+        met = met.where(F.col("_at.far") <= (F.col("radius") + self.eps) * (1 + _SLACK))
+        return met.withColumn("cell", F.array(F.col("_home").cast("long"))).drop("_home", "radius", "_at")
+
+
+def _partition(points: DataFrame, features: Sequence[str], eps: float) -> _Grid | _Pivots:
+    """The columns with the widest ranges, if they span more than one cell; else pivots, drawn by a hash of the points."""
     edges = points.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in features]).first()
     cells = {c: (edges[c]["high"] - edges[c]["low"]) / eps for c in features if edges[c]["low"] is not None}
-    return sorted((c for c in cells if cells[c] > 1), key=lambda c: (-cells[c], c))[:GRID_COLUMNS]
+    # Each step up or down a column triples the copies of a point, so a column has to cut more than that.
+    wide = sorted((c for c in cells if cells[c] > 3), key=lambda c: (-cells[c], c))[:GRID_COLUMNS]
+    if wide:
+        return _Grid(wide, eps)
+    drawn = points.orderBy(F.xxhash64(*features), *features).limit(PIVOTS).select(*features).toPandas()
+    return _Pivots(drawn.to_numpy(float), list(features), eps)
+
+
+def _fine(features: Sequence[str], eps: float) -> Column:
+    """Cell of side eps / sqrt(d): all its points are within eps of each other."""
+    side = eps / math.sqrt(len(features)) * (1 - _SLACK)
+    return F.array(*[F.floor(F.col(c) / side).cast("long") for c in features])
+
+
+def _dense(points: DataFrame, features: Sequence[str], eps: float, min_points: int) -> DataFrame:
+    """Written points with `node`: the smallest id of their cell if it is dense, else NULL."""
+    celled = points.withColumn("fine", _fine(features, eps))
+    cells = celled.groupBy("fine").agg(F.sum("weight").alias("rows"), F.min("id").alias("node")).where(F.col("rows") >= min_points)
+    return materialise(celled.join(cells.drop("rows"), "fine", "left").select("id", "weight", "node", *features), "dense")
 
 
 def _meet(
-    homes: DataFrame, others: DataFrame, features: Sequence[str], grid: Sequence[str], eps: float, block_points: int,
-    solve: Callable[[pd.DataFrame, pd.DataFrame, list], list[tuple]], schema: str,
+    homes: DataFrame, others: DataFrame, features: Sequence[str], partition: _Grid | _Pivots, eps: float, block_points: int,
+    solve: Callable[[pd.DataFrame, pd.DataFrame, list], list[tuple]], schema: str, apart: bool = False,
 ) -> DataFrame:
     """Apply `solve(home block, other block, near)` to every pair of blocks that may hold neighbours.
 
-    Both inputs have `id`, the features and `value`. `near` yields (slice of home rows, boolean matrix).
+    Both inputs have `id`, the features and `value`. `near` yields (slice of home rows, boolean matrix). With `apart`, only links
+    between different values are wanted: homes of the most common value of a cell are left out, since all others look for them.
     """
     features = list(features)
-    width = eps * (1 + 1e-9)  # rounding must not put two neighbours two cells apart
-    own = F.array(F.lit(0).cast("long"), *[F.floor(F.col(c) / width).cast("long") for c in grid])
-    steps = [F.array(F.lit(0).cast("long"), *[F.lit(s).cast("long") for s in step]) for step in itertools.product((-1, 0, 1), repeat=len(grid))]
-    homes = homes.withColumn("cell", own)
-    moved = others.withColumn("_own", own).withColumn("_step", F.explode(F.array(*steps)))
-    others = moved.withColumn("cell", F.zip_with("_own", "_step", lambda a, b: a + b)).drop("_own", "_step")
+    homes = partition.homes(homes)
+    others = partition.others(others, homes)
+    if apart:
+        sizes = others.groupBy("cell", "value").agg(F.count(F.lit(1)).alias("n"))
+        most = sizes.groupBy("cell").agg(F.max(F.struct("n", "value")).alias("most"), F.count(F.lit(1)).alias("values"))
+        most = most.where("values > 1").select("cell", F.col("most.value").alias("major"))
+        homes = homes.join(most, "cell").where("value <> major").drop("major")
 
     def blocks(side: DataFrame, name: str) -> DataFrame:
         return side.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_points).cast("int").alias(name))
@@ -85,8 +184,8 @@ def _weigh(home: pd.DataFrame, other: pd.DataFrame, near) -> list[tuple]:
 
 
 def _link(home: pd.DataFrame, other: pd.DataFrame, near) -> list[tuple]:
-    """Links that join the points of a block pair: at most one fewer than its points."""
-    mine, theirs = home["id"].to_numpy(), other["id"].to_numpy()
+    """Links that join the values of a block pair: at most one fewer than its values."""
+    mine, theirs = home["value"].to_numpy(), other["value"].to_numpy()
     root: dict[int, int] = {}
 
     def find(p: int) -> int:
@@ -98,12 +197,12 @@ def _link(home: pd.DataFrame, other: pd.DataFrame, near) -> list[tuple]:
 
     links = []
     for part, close in near:
-        for i, j in zip(*np.nonzero(close)):
-            a, b = int(mine[part][i]), int(theirs[j])
-            x, y = find(a), find(b)
+        rows, columns = np.nonzero(close & (mine[part][:, None] != theirs[None, :]))
+        for pair in np.unique(np.stack([mine[part][rows], theirs[columns]], 1), axis=0).tolist():
+            x, y = map(find, pair)
             if x != y:
                 root[max(x, y)] = min(x, y)
-                links.append((a, b))
+                links.append(tuple(pair))
     return links
 
 
@@ -125,11 +224,20 @@ def _points(df: DataFrame, features: Sequence[str], key: str | None) -> DataFram
     return materialise(grouped.select("id", "weight", *features), "points")
 
 
-def _core(points: DataFrame, features: Sequence[str], grid: Sequence[str], eps: float, min_points: int, block_points: int) -> DataFrame:
-    """Written ids of the points with at least min_points rows within eps, themselves included."""
-    sides = points.select("id", F.col("weight").alias("value"), *features)
-    near = _meet(sides, sides, features, grid, eps, block_points, _weigh, "id long, n long")
-    return materialise(near.groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= min_points).select("id"), "core")
+def _core(
+    points: DataFrame, features: Sequence[str], partition: _Grid | _Pivots, eps: float, min_points: int, block_points: int,
+) -> DataFrame:
+    """Written core points: those with at least min_points rows within eps, themselves included. `node` is the smallest id of a
+    dense cell, or a core point's own id."""
+    dense = _dense(points, features, eps, min_points)
+    values = [F.col("weight").alias("value"), *features]
+    near = _meet(
+        dense.where("node is null").select("id", *values), dense.select("id", *values), features, partition, eps, block_points, _weigh,
+        "id long, n long",
+    )
+    found = near.groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= min_points).select("id", F.lit(True).alias("_core"))
+    marked = dense.join(found, "id", "left").where("node is not null or _core").drop("_core")
+    return materialise(marked.withColumn("node", F.coalesce("node", "id")), "core")
 
 
 def dbscan_noise(
@@ -144,8 +252,7 @@ def dbscan_noise(
     and the core points, with weights, as the fitted model."""
     features = list(features)
     points = _points(df, features, None)
-    grid = _grid(points, features, eps)
-    core = points.join(_core(points, features, grid, eps, min_points, block_points), "id", "left_semi")
+    core = _core(points, features, _partition(points, features, eps), eps, min_points, block_points).drop("node")
     return near_core(df, core, features, eps, name, block_points), core.drop("id")
 
 
@@ -153,19 +260,52 @@ def near_core(
     df: DataFrame, core: DataFrame, features: Sequence[str], eps: float = DBSCAN_EPS, name: str = "label_secondary",
     block_points: int = BLOCK_POINTS,
 ) -> DataFrame:
-    """Label rows by fitted core points: 1 within eps of one, else -1. Serves new rows as well as those fitted."""
+    """Label rows by fitted core points: 1 within eps of one, else -1. Serves new rows as well as those fitted.
+
+    A point in the same fine cell as a core point is near it without a distance; only the others are compared.
+    """
     features = list(features)
-    points = _points(df, features, None)
-    grid = _grid(points, features, eps)
-    homes = points.select("id", F.lit(0).cast("long").alias("value"), *features)
+    points = _points(df, features, None).withColumn("fine", _fine(features, eps))
+    held = core.select(_fine(features, eps).alias("fine")).distinct().withColumn("_held", F.lit(True))
+    points = materialise(points.join(held, "fine", "left").drop("fine"), "near-points")
+    homes = points.where("_held is null").select("id", F.lit(0).cast("long").alias("value"), *features)
     others = core.select(F.xxhash64(*features).alias("id"), F.lit(1).cast("long").alias("value"), *features)
-    reached = _meet(homes, others, features, grid, eps, block_points, _reach, "id long, label long").select("id").distinct()
+    partition = _partition(points, features, eps)
+    reached = _meet(homes, others, features, partition, eps, block_points, _reach, "id long, label long").select("id").distinct()
     marked = points.join(reached.withColumn("_in", F.lit(True)), "id", "left").select(
-        *features, F.when(F.col("_in"), 1).otherwise(-1).cast("tinyint").alias(name)
+        *features, F.when(F.col("_held") | F.col("_in"), 1).otherwise(-1).cast("tinyint").alias(name)
     )
     return df.join(marked, on=features, how="left")
 
 
+def _ends(core: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Of every node the points at its ends along each column: at most two a column."""
+    ends = [end("id", c) for c in features for end in (F.min_by, F.max_by)]
+    return core.groupBy("node").agg(F.array_distinct(F.array(*ends)).alias("ends")).select(F.explode("ends").alias("id"))
+
+
+def _clusters(core: DataFrame, features: Sequence[str], partition: _Grid | _Pivots, eps: float, block_points: int) -> DataFrame:
+    """Written core points (id, value, features) with the smallest id of their cluster as value.
+
+    The ends of the nodes join most of them; after that all core points look for the links that are still missing, which leaves
+    out every neighbourhood that is one component already.
+    """
+    schema = "a long, b long"
+    ends = materialise(core.join(_ends(core, features), "id", "left_semi").select("id", F.col("node").alias("value"), *features), "ends")
+    links = materialise(_meet(ends, ends, features, partition, eps, block_points, _link, schema, apart=True), "end-links")
+
+    def labelled(parts: DataFrame) -> DataFrame:
+        found = core.join(parts.withColumnRenamed("node", "value"), core["node"] == F.col("value"), "left")
+        return materialise(found.select("id", F.coalesce("component", "node").alias("value"), *features), "core-labels")
+
+    sides = labelled(components(links))
+    late = materialise(_meet(sides, sides, features, partition, eps, block_points, _link, schema, apart=True), "late-links")
+    if late.isEmpty():
+        return sides
+    nodes = sides.select(F.col("id"), F.col("value")).join(core.select("id", "node"), "id").select(F.col("node").alias("a"), F.col("value").alias("b"))
+    return labelled(components(nodes.distinct().unionByName(late)))
+
+
 def dbscan_clusters(
     df: DataFrame,
     features: Sequence[str],
@@ -180,17 +320,12 @@ def dbscan_clusters(
     """
     features = list(features)
     points = _points(df, features, key)
-    grid = _grid(points, features, eps)
-    core = materialise(
-        points.join(_core(points, features, grid, eps, min_points, block_points), "id", "left_semi"), "core-points"
-    )
-    sides = core.select("id", F.lit(0).cast("long").alias("value"), *features)
-    links = _meet(sides, sides, features, grid, eps, block_points, _link, "a long, b long")
-    labels = components(links).withColumnRenamed("node", "id")
-    labelled = core.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("value"), *features)
-    labelled = materialise(labelled, "core-labels")
-    homes = points.select("id", F.lit(0).cast("long").alias("value"), *features)
-    near = _meet(homes, labelled, features, grid, eps, block_points, _reach, "id long, label long")
-    smallest = near.groupBy("id").agg(F.min("label").alias("label"))
+    partition = _partition(points, features, eps)
+    core = _core(points, features, partition, eps, min_points, block_points)
+    labelled = _clusters(core, features, partition, eps, block_points)
+    border = points.join(core.select("id"), "id", "left_anti")
+    homes = border.select("id", F.lit(0).cast("long").alias("value"), *features)
+    near = _meet(homes, labelled, features, partition, eps, block_points, _reach, "id long, label long")
+    smallest = near.groupBy("id").agg(F.min("label").alias("label")).unionByName(labelled.select("id", F.col("value").alias("label")))
     clusters = points.join(smallest, "id", "left").select(*features, F.coalesce("label", F.lit(-1)).alias("cluster"))
     return df.join(clusters, on=features, how="left")
