@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hostpulse.config import FEATURES, LOG_COLUMNS, RAW_HEADER
+from hostpulse.operators.forest import Forest
 from hostpulse.operators.labels import label_if, risk_score, union_label
 from hostpulse.session import spread_small
 
@@ -110,3 +112,25 @@ def stand_in_scores(features: DataFrame) -> DataFrame:
 
 #: Weights of an SVM that is not fitted, so that its labels have an exact SQL twin.
 SVM_WEIGHTS = {f"z_{c}": -(1.0 + i) / 8 for i, c in enumerate(sorted(FEATURES))}
+
+
+#: Offset of that SVM where it is stored as a model, cut-off of the given forest, and rule limits.
+SVM_OFFSET, FOREST_CUT = -4.0, -0.5
+LIMITS = {"bot_ua_rate": 0.4, "error_4xx_rate": 0.45, "req_count_ddos": 4.0, "unique_urls_scraper": 5.0, "req_count_highvol": 2.0}
+#: Three trees that are not grown, as (tree, node, feature, threshold, rows); nodes are numbered as in a heap, leaves have no feature.
+FOREST = [
+    (0, 0, "z_req_count", 0.5, 256), (0, 1, None, None, 200), (0, 2, "z_total_bytes", 1.0, 56), (0, 5, None, None, 50), (0, 6, None, None, 6),
+    (1, 0, "z_error_4xx_rate", 0.25, 256), (1, 1, "z_avg_bytes", -0.5, 220), (1, 2, None, None, 36), (1, 3, None, None, 100),
+    (1, 4, None, None, 120), (2, 0, "z_unique_urls", 1.5, 256), (2, 1, None, None, 255), (2, 2, None, None, 1),
+]
+
+
+def given_forest() -> Forest:
+    names = [f"z_{c}" for c in FEATURES]
+    rows = [
+        (tree, node, -1 if column is None else names.index(column), threshold, -1 if column is None else 2 * node + 1,
+         -1 if column is None else 2 * node + 2, (node + 1).bit_length() - 1, n)
+        for tree, node, column, threshold, n in FOREST
+    ]
+    nodes = pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "depth", "n"])
+    return Forest(nodes.astype({"threshold": float}), 256, 3, 0)

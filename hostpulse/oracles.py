@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from hostpulse.config import BOT_MARKERS, FEATURES
+import math
 
-_MARKERS = "|".join(m.replace(".", r"\.") for m in BOT_MARKERS)
+from hostpulse.adapters import FOREST, FOREST_CUT, LIMITS, SVM_OFFSET
+from hostpulse.config import FEATURES, SWEEP
+
+# The markers of non-human user agents, written out here so that a change in the engine shows.
+_MARKERS = (
+    r"bot|crawler|spider|scraper|python|curl|wget|java/|go-http|httpclient|libwww|ahrefsbot|semrushbot|mj12bot|baiduspider|yandexbot"
+    r"|googlebot|bingbot|scrapy|facebookexternalhit|archive\.org_bot"
+)
 _KEYS = "ts, host, method, resource, status"
 
 RAW = """
@@ -246,3 +253,54 @@ ORACLES["svm_given_certificate"] = f"""with {_SVM}, one as (
       avg(case when below then 1.0 else 0.0 end) as share_below from sided)
     select n, round(objective, 6) as objective, round({-_SQUARE / 2}::double, 6) as dual, round(objective + {_SQUARE / 2}::double, 6) as gap,
       round(share_below, 6) as share_below from one"""
+
+
+def _path(n: int) -> float:
+    """Mean path of an unsuccessful search among n rows."""
+    return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
+
+
+def _tree(tree: int, node: int = 0, depth: int = 0) -> str:
+    """Path length in one of the given trees, as a CASE."""
+    column, threshold, n = next(row[2:] for row in FOREST if row[:2] == (tree, node))
+    if column is None:
+        return f"{depth + _path(n)!r}::double"
+    return f"case when {column} <= {threshold}::double then {_tree(tree, 2 * node + 1, depth + 1)} else {_tree(tree, 2 * node + 2, depth + 1)} end"
+
+
+_GIVEN_SCORE = f"-pow(2, -(({' + '.join(_tree(t) for t in range(3))}) / 3) / {_path(256)!r}::double)"
+ORACLES["forest_given_scores"] = f"with {STANDARDISED} select host, window_start, round({_GIVEN_SCORE}, 6) as score from z"
+ORACLES["isolation_forest_shape"] = f"""with {_features(60)} select cast(tree as int) as tree,
+    least(256, (select count(*) from features)) as leaf_rows, 1 as leaves_over_splits from range(200) t(tree)"""
+_GIVEN_LIMITS = {k: f"{v}::double" for k, v in LIMITS.items()}
+ORACLES["scored_with_given_models"] = f"""with {STANDARDISED},
+given as (select host, window_start, {_GIVEN_SCORE} as score, {" + ".join(_SVM_TERMS)} as total, {" + ".join(f"abs({t})" for t in _SVM_TERMS)} as terms from z),
+labelled as (select f.*, cast(score as float)::double as anomaly_score_if, cast(greatest(0, least(100, -100 * score)) as float)::double as risk_score_100,
+    cast(case when score < {FOREST_CUT}::double then -1 else 1 end as tinyint) as label_if,
+    cast(case when total - {SVM_OFFSET}::double < -1e-9::double * (terms + {abs(SVM_OFFSET)}::double) then -1 else 1 end as tinyint) as label_secondary
+    from features f join given using (host, window_start)),
+united as (select *, cast(case when label_if = -1 or label_secondary = -1 then -1 else 1 end as tinyint) as label_combined from labelled)
+select {_SCORED_COLUMNS.replace('anomaly_type', '')} case when label_combined <> -1 then 'normal'
+    when bot_ua_rate > {_GIVEN_LIMITS['bot_ua_rate']} then 'bot / crawler'
+    when error_4xx_rate > {_GIVEN_LIMITS['error_4xx_rate']} then 'vulnerability scan / dir-brute'
+    when req_count > {_GIVEN_LIMITS['req_count_ddos']} and unique_urls / greatest(req_count, 1) < 0.05 then 'DDoS / flood (single endpoint)'
+    when unique_urls > {_GIVEN_LIMITS['unique_urls_scraper']} or unique_urls / greatest(req_count, 1) > 0.6 then 'web scraper (content theft)'
+    when req_count > {_GIVEN_LIMITS['req_count_highvol']} then 'high-volume anomaly'
+    else 'low-volume anomaly (needs manual review)' end as anomaly_type from united"""
+
+
+def _swept(c: float) -> str:
+    return f"""select {c}::double as contamination, count(*) as n, count_if(a) as n_if, count_if(b) as n_svm, count_if(a or b) as n_union,
+    count_if(a and b) as n_intersection from (select s.anomaly_score_if < (select quantile_cont(anomaly_score_if, {c}::double) from scores) as a,
+      total - rho < -1e-9::double * (terms + abs(rho)) as b from scores s join totals using (host, window_start),
+      (select total as rho from totals order by total limit 1 offset (select cast(floor({c}::double * count(*)) as bigint) from totals)))"""
+
+
+ORACLES["sensitivity_given"] = f"""with {SCORED},
+moments as (select {", ".join(f"avg({c}::double) as m_{c}, case when stddev_pop({c}::double) = 0 then 1 else stddev_pop({c}::double) end as s_{c}" for c in FEATURES)} from features),
+z as (select host, window_start, {", ".join(f"({c} - m_{c}) / s_{c} as z_{c}" for c in FEATURES)} from features, moments),
+totals as (select *, {" + ".join(_SVM_TERMS)} as total, {" + ".join(f"abs({t})" for t in _SVM_TERMS)} as terms from z),
+scores as (select host, window_start, anomaly_score_if from with_score),
+swept as ({" union all ".join(_swept(c) for c in SWEEP)})
+select round(contamination, 6) as contamination, n_if, round(n_if / n * 100, 6) as if_pct, n_svm, round(n_svm / n * 100, 6) as svm_pct, n_union,
+    round(n_union / n * 100, 6) as union_pct, n_intersection from swept"""

@@ -99,7 +99,7 @@ def fit_and_score(
         wanted["_sweep_score"] = list(sweep)
     cuts = quantiles(scored, wanted)
     offset = cuts["_score"][0]
-    sensitivity = _sensitivity(scored, sweep, cuts["_sweep_score"]) if run_sensitivity else []
+    swept = sensitivity(scored, sweep, cuts["_sweep_score"]) if run_sensitivity else []
 
     labelled = scored.select(
         *features.columns,
@@ -113,11 +113,11 @@ def fit_and_score(
         classify(labelled, limits), scaler, forest, offset, limits, secondary,
         svms.get(contamination) if secondary == "ocsvm" else None,
         core,
-        sensitivity,
+        swept,
     )
 
 
-def _sensitivity(scored: DataFrame, sweep: Sequence[float], cuts: Sequence[float]) -> list[Row]:
+def sensitivity(scored: DataFrame, sweep: Sequence[float], cuts: Sequence[float]) -> list[Row]:
     """Counts per contamination in one pass. One forest serves all: contamination moves only its cut-off.
 
     The second detector here is always the one-class SVM, whichever one labels the windows.

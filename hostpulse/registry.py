@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from hostpulse import adapters
-from hostpulse.config import FEATURES, LOG_COLUMNS, WINDOW_SECONDS
+from hostpulse.config import FEATURES, LOG_COLUMNS, SWEEP, WINDOW_SECONDS
 from hostpulse.operators.cleaning import clean, type_columns
 from hostpulse.operators.dbscan import dbscan_clusters, dbscan_noise
 from hostpulse.operators.forest import add_scores, fit_forest
 from hostpulse.operators.labels import label_if, union_vs_intersection
 from hostpulse.operators.ocsvm import Model as SvmModel, below, certificate, with_offsets
+from hostpulse.operators.quantiles import quantiles
 from hostpulse.operators.scaling import moments, scaler_table, standardise
 from hostpulse.operators.threats import classify, normal_percentiles, thresholds
 from hostpulse.operators.windows import build_features
 from hostpulse.plans import eda, report, stages
-from hostpulse.plans.scoring import KEYS, Z, Scoring, fit_and_score, fit_svms, score_with
+from hostpulse.plans.scoring import KEYS, Z, Scoring, fit_and_score, fit_svms, score_with, sensitivity
 from hostpulse.session import materialise, scratch_path
 from hostpulse.sources.csv_logs import detect_dialects, read_log_folder, rejected_files
 from hostpulse.sources.tables import load_models, read_table, save_models, write_report
@@ -28,6 +29,7 @@ _FRACTIONS = {
     "error_4xx_rate", "error_5xx_rate", "avg_bytes", "bytes_std", "bot_ua_rate", "anomaly_score_if", "risk_score_100",
     "mean", "std", "p50", "p90", "p99", "p99_9", "min_score", "max_score", "mean_score", "max_risk", "only_if_pct",
     "only_secondary_pct", "intersection_pct", "union_pct", "lost_by_intersection_pct", "objective", "dual", "gap", "share_below",
+    "score", "if_pct", "svm_pct", "union_pct",
 }
 #: Width of the `embedding` column; all of it is used.
 DIMENSIONS = 64
@@ -172,6 +174,45 @@ def svm_given_certificate(spark: SparkSession, sf: str) -> DataFrame:
     return certificate(z, model, 0.05)
 
 
+def forest_given_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of three given trees."""
+    return add_scores(_z(spark, sf, DAY)[0], adapters.given_forest(), Z).select(*KEYS, "score")
+
+
+def isolation_forest_shape(spark: SparkSession, sf: str) -> DataFrame:
+    """Per grown tree: rows in its leaves, and how many more leaves than splits it has."""
+    z, rows = _z(spark, sf, WINDOW_SECONDS)
+    nodes = spark.createDataFrame(fit_forest(z, Z, KEYS, rows).nodes[["tree", "feature", "n"]])
+    leaf = F.col("feature") < 0
+    return nodes.groupBy("tree").agg(
+        F.sum(F.when(leaf, F.col("n"))).alias("leaf_rows"), (F.count_if(leaf) - F.count_if(~leaf)).alias("leaves_over_splits")
+    )
+
+
+def scored_with_given_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Given models stored as tables, loaded again, and applied."""
+    features = _feature_table(spark, sf, DAY)
+    folder = scratch_path(spark, "models")
+    given = Scoring(
+        features, moments(features, FEATURES).first(), adapters.given_forest(), adapters.FOREST_CUT, Row(**adapters.LIMITS), "ocsvm",
+        (adapters.SVM_WEIGHTS, adapters.SVM_OFFSET),
+    )
+    save_models(spark, given, folder)
+    return score_with(features, **vars(load_models(spark, folder))).withColumns(
+        {c: F.col(c).cast("double") for c in ("anomaly_score_if", "risk_score_100")}
+    )
+
+
+def sensitivity_given(spark: SparkSession, sf: str) -> DataFrame:
+    """The sweep over stand-in scores and an SVM of given weights: cut-offs, flags and overlaps per contamination."""
+    z, rows = _z(spark, sf, DAY)
+    scores = _labelled(spark, sf).select(*KEYS, F.col("anomaly_score_if").alias("_sweep_score"))
+    models = with_offsets(z, {nu: adapters.SVM_WEIGHTS for nu in SWEEP}, rows)
+    flags = z.select(*KEYS, *[below(models[nu]).alias(f"_svm_{i}") for i, nu in enumerate(SWEEP)])
+    scored = materialise(scores.join(flags, KEYS), "swept")
+    return spark.createDataFrame(sensitivity(scored, SWEEP, quantiles(scored, {"_sweep_score": SWEEP})["_sweep_score"]))
+
+
 def sensitivity_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(_fit(spark, sf, run_sensitivity=True).sensitivity)
 
@@ -236,6 +277,10 @@ QUERIES: dict[str, Query] = {
     "dbscan_clusters": dbscan_cluster_ids,
     "ocsvm_labels": ocsvm_labels,
     "svm_given_labels": svm_given_labels,
+    "forest_given_scores": lambda s, d: rounded(forest_given_scores(s, d)),
+    "isolation_forest_shape": isolation_forest_shape,
+    "scored_with_given_models": lambda s, d: rounded(scored_with_given_models(s, d)),
+    "sensitivity_given": lambda s, d: rounded(sensitivity_given(s, d)),
     "svm_given_certificate": lambda s, d: rounded(svm_given_certificate(s, d)),
     "sensitivity_sweep": sensitivity_sweep,
     "scored_windows": lambda s, d: _fit(s, d).scored,
