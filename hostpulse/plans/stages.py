@@ -13,8 +13,8 @@ from hostpulse.plans import eda, report
 from hostpulse.plans.scoring import fit_and_score
 from hostpulse.operators.labels import union_vs_intersection
 from hostpulse.operators.threats import normal_percentiles
-from hostpulse.sources.csv_logs import FILE_ORDER, read_log_folder, rejected_files
-from hostpulse.sources.tables import read_table, save_models, write_report, write_table
+from hostpulse.sources.csv_logs import FILE_ORDER, parse_lines, rejected, scan_folder
+from hostpulse.sources.tables import read_table, save_models, stored_bytes, write_report, write_table
 
 # The names of the steps and, below, of their tables.
 STEPS = ["ingestion", "preprocessing", "eda", "feature_engineering", "modelling", "reporting"]
@@ -74,9 +74,13 @@ def run(
         return F.count(F.lit(1)).alias(name)
 
     if "ingestion" in active:
-        write_counted(read_log_folder(spark, raw_folder), raw, rows("raw_rows"))
-        write_counted(rejected_files(spark, raw_folder), f"{out_folder}/rejected_files", rows("rejected_files"))
+        lines, files = scan_folder(spark, raw_folder)
+        write_counted(parse_lines(lines, files, raw_folder), raw, rows("raw_rows"))
+        write_counted(rejected(files), f"{out_folder}/rejected_files", rows("rejected_files"))
         write_table(rows_per_file(read_table(spark, raw)), f"{out_folder}/rows_per_file")
+        read = files.where("reason is null").agg(F.sum("length")).first()[0]
+        stored = stored_bytes(spark, raw)
+        result.counters |= {"csv_bytes": read, "raw_bytes": stored, "csv_to_raw_ratio": read / stored}
     if "preprocessing" in active:
         seen = Observation()
         kept = clean(read_table(spark, raw), FILE_ORDER, counters=seen)

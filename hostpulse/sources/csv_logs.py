@@ -135,9 +135,13 @@ def detect_dialects(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def rejected(files: DataFrame) -> DataFrame:
+    """One row per scanned file that is left out: path, file, lines, reason. Files without a byte hold no rows and are not listed."""
+    return files.where("reason is not null").select("path", "file", "lines", "reason")
+
+
 def rejected_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per file that is left out: path, file, lines, reason. Files without a byte hold no rows and are not listed."""
-    return scan_files(spark, folder).where("reason is not null").select("path", "file", "lines", "reason")
+    return rejected(scan_files(spark, folder))
 
 
 def _text() -> Column:
@@ -203,10 +207,15 @@ def read_log_folder(spark: SparkSession, folder: str) -> DataFrame:
 
     Files that have no header of nine fields, or that break while they are read, are left out whole; `rejected_files` lists them.
     """
+    return parse_lines(*scan_folder(spark, folder), folder)
+
+
+def scan_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The scanned lines of a folder and its files with their dialects: all that is ever read of the raw files."""
     if _listing(spark, folder).isEmpty():
         raise FileNotFoundError(f"no *.csv file in {folder}")
     lines = scan_lines(spark, folder)
-    return parse_lines(lines, scan_files(spark, folder, lines), folder)
+    return lines, scan_files(spark, folder, lines)
 
 
 def parse_lines(lines: DataFrame, files: DataFrame, folder: str = "the folder") -> DataFrame:

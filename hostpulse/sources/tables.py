@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from hostpulse.config import FEATURES
 from hostpulse.operators.forest import Forest
@@ -23,6 +23,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a table's Parquet files; only listed, not opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def write_report(report: DataFrame, stem: str, at: datetime | None = None) -> str:
     """CSV folder `<stem>_<YYYYmmdd_HHMMSS>`. Its part files follow the order of the report, so it
     is written in parallel and reads in order; nothing is gathered into one task."""

@@ -57,6 +57,14 @@ def test_report_files_are_in_order(spark, finished):
     assert scores == sorted(scores) and len(scores) == finished[2].counters["anomalies_combined"]
 
 
+def test_sizes_are_counted(finished):
+    counters, base = finished[2].counters, Path(finished[1]).parent
+    used = [f for f in (base / "csv").glob("*.csv") if not f.name.startswith("narrow")]
+    assert counters["csv_bytes"] == sum(f.stat().st_size for f in used)
+    assert counters["raw_bytes"] == sum(f.stat().st_size for f in Path(finished[1]).glob("raw_logs/*.parquet"))
+    assert counters["csv_to_raw_ratio"] == counters["csv_bytes"] / counters["raw_bytes"] > 1
+
+
 def test_tables_of_the_summary(finished):
     summary, profile = finished[2].summary, finished[2].profile
     assert summary["overview"].first().anomalous == finished[2].counters["anomalies_combined"]
