@@ -36,8 +36,9 @@ def interleave(
         "source",
         (text_bytes() + 1).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-        unit(F.xxhash64(F.lit(seed), "doc_id")).alias("draw"),
     )
+    # The text has a say too: rows that share an id, or have none, are drawn apart.
+    narrow = narrow.withColumn("draw", unit(F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size")))
     phase = unit(F.xxhash64(F.lit(seed), F.coalesce("source", F.lit("")), F.col("source").isNull()))
     placed = ranked(narrow, "source", "draw", ["doc_id", "text_crc32", "size"], rows_per_bucket).select(
         "doc_id", "source", "size", "text_crc32", "draw", ((F.col("rank") + phase) / F.col("key_rows")).alias("fraction")

@@ -40,3 +40,28 @@ def test_odd_rows(spark):
     found = Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got)
     assert found == Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in ROWS)
     assert sharding.interleave(none(spark)).count() == 0
+
+
+def test_against_a_plain_interleaving_and_rows_without_ids(spark):
+    """Ranks, fractions and cuts worked out row by row; a third of the rows have no id and are still drawn apart."""
+    docs = spark.range(900).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("s"), F.col("id") % 4)).alias("source"),
+    )
+    got = sharding.interleave(docs, rows_per_bucket=50).collect()
+    unit = "shiftrightunsigned({}, 11) * power(2, -53)"
+    rows = docs.selectExpr("doc_id", "source", "crc32(text) as crc", "octet_length(text) + 1L as size").selectExpr(
+        "*", unit.format(f"xxhash64({sharding.SEED}, doc_id, crc, size)") + " as draw",
+        unit.format(f"xxhash64({sharding.SEED}, coalesce(source, ''), source is null)") + " as phase",
+    ).collect()
+    assert len({r["draw"] for r in rows}) == 900
+    sources = {}
+    for r in rows:
+        sources.setdefault(r["source"], []).append(r)
+    line = []
+    for own in sources.values():
+        own.sort(key=lambda r: r["draw"])
+        line += [((k + r["phase"]) / len(own), r["source"] or "", r["crc"], r["size"]) for k, r in enumerate(own)]
+    line.sort()
+    want = {(crc, size): (k * 16 // 900, k) for k, (_, _, crc, size) in enumerate(line)}
+    assert {(r["text_crc32"], r["size"]): (r["shard"], r["position"]) for r in got} == want
