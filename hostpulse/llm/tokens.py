@@ -8,7 +8,6 @@ process; all other texts go to the tokenizer whole. Both ways give the tokenizer
 from __future__ import annotations
 
 import os
-import re
 import sys
 from collections.abc import Iterator
 from itertools import chain
@@ -23,8 +22,8 @@ END = 2
 CACHE_PIECES = 800_000
 _BREAK = 198  # id of a single line break
 _HEAD = "\0"  # marks a piece that no space precedes
-# White space of Unicode other than space and line break, and the marker itself.
-_ODD = re.compile("[\0\t\x0b-\r\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# White space of Unicode other than space and line break, and the marker itself; looked for one by one, which is faster than a class.
+_ODD = "\0\t\x0b\x0c\r\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _DOUBLE = ("  ", "\n\n", " \n", "\n ")
 
 
@@ -120,8 +119,8 @@ class Encoder:
         """Ids of all texts in a row, each text followed by the end id, and the number of ids of each."""
         plain = [
             i for i, t in enumerate(texts)
-            if t and t[0] not in " \n" and t[-1] not in " \n" and not any(d in t for d in _DOUBLE) and not _ODD.search(t)
-            and not any(a in t for a in self.added)
+            if t and t[0] not in " \n" and t[-1] not in " \n" and not any(c in t for c in _ODD)
+            and not any(d in t for d in _DOUBLE) and not any(a in t for a in self.added)
         ]
         parts = [(_HEAD + texts[i].replace("\n", f" \n {_HEAD}")).split(" ") for i in plain]
         if len(self.index) > self.most:
