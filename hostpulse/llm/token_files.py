@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from hostpulse.llm.tokens import encoder, small_batches, tokenizer_path
-from hostpulse.session import scratch_path
+from hostpulse.session import materialise, scratch_path
 
 SCHEMA = "doc_id long, part int, ids array<int>"
 STRIPE_BYTES = 16 << 20
@@ -73,10 +73,11 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def digest(tokens: DataFrame) -> DataFrame:
     """Per document: `start`, the ids of all documents before it, `n_tokens`, and the checksum of its ids.
 
-    Starts are summed within a range of ids, on top of the totals of the ranges before it: no task sees all documents.
+    Starts are summed within a range of ids, on top of the totals of the ranges before it: no task sees all documents. The files are
+    read once; the numbers of their rows are written.
     """
-    rows = tokens.mapInArrow(_digests, "doc_id long, part int, n_tokens long, ids_crc32 long")
-    totals = tokens.groupBy("part").agg(F.sum(F.size("ids").cast("long")).alias("n"))
+    rows = materialise(tokens.mapInArrow(_digests, "doc_id long, part int, n_tokens long, ids_crc32 long"), "token-digests")
+    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     within = Window.partitionBy("part").orderBy("doc_id", "n_tokens", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
