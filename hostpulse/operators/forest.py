@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -128,39 +129,132 @@ def average_path(n: np.ndarray | int) -> np.ndarray:
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, long))
 
 
-def complete_trees(forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature and threshold per inner node and path length per last-level node, in heap order.
+@dataclass(frozen=True)
+class LeafMasks:
+    """A forest as bit vectors. Plain arrays, because they are broadcast; some 2 bytes x trees x splits beside the masks.
 
-    All trees become complete binary trees: a leaf is carried down its left side to the last level.
-    Plain arrays, because they are broadcast.
+    `cuts` holds the sorted thresholds of each feature over all trees, so that a value is ranked once for all trees. `places` holds
+    per feature a number for every rank and tree; the numbers of a group's features add up to a place in that tree's masks of the
+    group. A mask has a bit for each leaf that the group's features leave possible; all groups together leave one. `lengths` gives
+    path lengths per tree and word by the binary exponent of that one bit, 0 where the bit is in another word.
     """
-    levels = int(forest.nodes["depth"].max())
-    inner, last = 2**levels - 1, 2**levels
-    feature = np.zeros((forest.trees, inner), dtype=np.intp)
-    threshold = np.full((forest.trees, inner), np.inf)
-    length = np.zeros((forest.trees, last))
-    splits = forest.nodes[forest.nodes["feature"] >= 0]
-    feature[splits["tree"], splits["node"]] = splits["feature"]
-    threshold[splits["tree"], splits["node"]] = splits["threshold"]
-    leaves = forest.nodes[forest.nodes["feature"] < 0]
-    lowest = (leaves["node"].to_numpy() + 1) * 2 ** (levels - leaves["depth"].to_numpy()) - 1 - inner
-    length[leaves["tree"].to_numpy(), lowest] = leaves["depth"].to_numpy() + average_path(leaves["n"].to_numpy())
-    return feature, threshold, length
-
-
-def path_lengths(trees: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray) -> np.ndarray:
-    """Path length per tree and row, shape (trees, rows), walking all rows of a batch at once."""
-    rows = len(x)
-    flat = np.ascontiguousarray(x.T).ravel()
-    offset = np.arange(rows)
-    lengths = np.empty((len(trees[0]), rows))
-    levels = trees[2].shape[1].bit_length() - 1
-    for t, (feature, threshold, length) in enumerate(zip(trees[0] * rows, *trees[1:])):
-        node = np.zeros(rows, dtype=np.intp)
-        for _ in range(levels):
-            node = 2 * node + 1 + (flat[feature[node] + offset] > threshold[node])
-        lengths[t] = length[node - len(feature)]
-    return lengths
+
+    cuts: list[np.ndarray]
+    places: list[np.ndarray]
+    groups: list[list[int]]
+    masks: list[list[list[np.ndarray] | None]]
+    lengths: list[list[np.ndarray]]
+
+
+# Masks a tree may have for a group of features; more would not stay in a core's cache.
+GROUP_MASKS = 8192
+# Rows walked through all trees at once, for the same reason.
+CHUNK = 5000
+_EXPONENT = 1023  # of 1.0 as a double
+
+
+def _leaf_boxes(nodes: dict[str, np.ndarray], features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of one tree the bounds of each leaf per feature (values above `low`, up to `high`), and path lengths."""
+    at = {node: i for i, node in enumerate(nodes["node"].tolist())}
+    low, high = np.full((len(at), features), -np.inf), np.full((len(at), features), np.inf)
+    # Nodes come in order, and children have larger numbers than their parents.
+    for i, (f, threshold, left, right) in enumerate(zip(*[nodes[c].tolist() for c in ("feature", "threshold", "left", "right")])):
+        if f >= 0:
+            below, above = at[left], at[right]
+            low[below] = low[above] = low[i]
+            high[below] = high[above] = high[i]
+            high[below, f] = low[above, f] = threshold
+    leaf = np.flatnonzero(nodes["feature"] < 0)
+    return low[leaf], high[leaf], nodes["depth"][leaf] + average_path(nodes["n"][leaf])
+
+
+def _grouped(sizes: np.ndarray) -> list[list[int]]:
+    """Features in groups whose sizes multiply to at most GROUP_MASKS in every tree; `sizes` is (features, trees)."""
+    groups: list[tuple[list[int], np.ndarray]] = []
+    for f in np.argsort(-sizes.mean(axis=1), kind="stable"):
+        if sizes[f].max() == 1:
+            continue
+        for i, (members, product) in enumerate(groups):
+            if (product * sizes[f]).max() <= GROUP_MASKS:
+                groups[i] = ([*members, int(f)], product * sizes[f])
+                break
+        else:
+            groups.append(([int(f)], sizes[f]))
+    return [members for members, _ in groups]
+
+
+def _words(possible: np.ndarray) -> np.ndarray:
+    """Rows of bits as 64-bit words, shape (words, rows)."""
+    packed = np.packbits(possible, axis=1, bitorder="little")
+    padded = np.zeros((len(packed), -(-packed.shape[1] // 8) * 8), dtype=np.uint8)
+    padded[:, :packed.shape[1]] = packed
+    return np.ascontiguousarray(padded.view("<u8").T)
+
+
+def leaf_masks(forest: Forest, features: int) -> LeafMasks:
+    """Bit vectors of all trees, made once on the driver; their size depends on the forest, not on the data."""
+    ordered = forest.nodes.sort_values(["tree", "node"])
+    columns = {c: ordered[c].to_numpy() for c in ("tree", "node", "feature", "threshold", "left", "right", "depth", "n")}
+    trees = [
+        {c: v[start:end] for c, v in columns.items()}
+        for start, end in itertools.pairwise(np.searchsorted(columns["tree"], np.arange(forest.trees + 1)).tolist())
+    ]
+    cuts = [np.unique(columns["threshold"][columns["feature"] == f]) for f in range(features)]
+    own = {
+        (f, t): np.unique(nodes["threshold"][nodes["feature"] == f])
+        for t, nodes in enumerate(trees) for f in set(nodes["feature"].tolist()) - {-1}
+    }
+    sizes = np.ones((features, forest.trees), dtype=np.int64)
+    for (f, t), thresholds in own.items():
+        sizes[f, t] += len(thresholds)
+    groups = _grouped(sizes)
+    places = [np.zeros((len(c) + 1, forest.trees), dtype=np.int16) for c in cuts]
+    masks, lengths = [[None] * forest.trees for _ in groups], []
+    for t, nodes in enumerate(trees):
+        low, high, length = _leaf_boxes(nodes, features)
+        for members, of_group in zip(groups, masks):
+            combined = None
+            for f in members:
+                thresholds = own.get((f, t))
+                if thresholds is None:
+                    continue
+                # A value is known by how many of the tree's thresholds it is above.
+                above = np.arange(len(thresholds) + 1)[:, None]
+                first, last = np.searchsorted(thresholds, low[:, f], "right"), np.searchsorted(thresholds, high[:, f])
+                words = _words((above >= first) & (above <= last))
+                step = 1 if combined is None else combined.shape[1]
+                places[f][1:, t] = np.searchsorted(thresholds, cuts[f], "right") * step
+                combined = words if combined is None else (words[:, :, None] & combined[:, None, :]).reshape(len(words), -1)
+            of_group[t] = None if combined is None else list(combined)
+        bit = np.arange(len(length))
+        by_exponent = np.zeros((-(-len(length) // 64), _EXPONENT + 64))
+        by_exponent[bit // 64, _EXPONENT + bit % 64] = length
+        lengths.append(list(by_exponent))
+    return LeafMasks(cuts, places, groups, masks, lengths)
+
+
+def path_lengths(forest: LeafMasks, x: np.ndarray) -> np.ndarray:
+    """Path length per tree and row, shape (trees, rows). NaN goes left, as any value that is not above a threshold."""
+    out = np.empty((len(forest.lengths), len(x)))
+    for start in range(0, len(x), CHUNK):
+        values = x[start:start + CHUNK].T
+        values = np.where(np.isnan(values), -np.inf, values)
+        at = []
+        for members in forest.groups:
+            place = sum(forest.places[f].take(np.searchsorted(forest.cuts[f], values[f]), axis=0, mode="clip") for f in members)
+            at.append(np.ascontiguousarray(place.T))
+        for t, by_exponent in enumerate(forest.lengths):
+            left = None
+            for of_group, place in zip(forest.masks, at):
+                if of_group[t] is not None:
+                    found = [word.take(place[t], mode="clip") for word in of_group[t]]
+                    left = found if left is None else [np.bitwise_and(a, b, out=a) for a, b in zip(left, found)]
+            if left is None:
+                out[t, start:start + CHUNK] = by_exponent[0][_EXPONENT]
+            else:
+                exponents = [word.astype(float).view(np.int64) >> 52 for word in left]
+                out[t, start:start + CHUNK] = sum(of.take(e, mode="clip") for of, e in zip(by_exponent, exponents))
+    return out
 
 
 def add_scores(
@@ -172,7 +266,7 @@ def add_scores(
     """
     wanted = {name: forest.trees, **(prefixes or {})}
     normaliser = float(average_path(forest.psi)) or 1.0
-    shared = df.sparkSession.sparkContext.broadcast(complete_trees(forest))
+    shared = df.sparkSession.sparkContext.broadcast(leaf_masks(forest, len(features)))
     fields = ", ".join(f"{n} double" for n in wanted)
 
     @F.pandas_udf(fields)

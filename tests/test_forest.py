@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from hostpulse.operators.forest import Forest, add_scores, average_path, complete_trees, fit_forest, path_lengths, sample_per_tree
+from hostpulse.operators.forest import CHUNK, Forest, _grow, add_scores, average_path, fit_forest, leaf_masks, path_lengths, sample_per_tree
 
 COLUMNS = ["a", "b", "c"]
 
@@ -61,7 +61,40 @@ def test_path_lengths_by_hand():
         columns=["tree", "node", "feature", "threshold", "left", "right", "depth", "n"],
     )
     x = np.array([[0.5, 99.0], [0.6, 10.0], [0.6, 10.1]])
-    assert path_lengths(complete_trees(Forest(nodes, 4, 1, 0)), x).tolist() == [[1.0, 3.0, 2.0]]
+    assert path_lengths(leaf_masks(Forest(nodes, 4, 1, 0), 2), x).tolist() == [[1.0, 3.0, 2.0]]
+
+
+def walked(forest, x):
+    """Path lengths by following every row down every tree."""
+    out = []
+    for _, nodes in forest.nodes.groupby("tree"):
+        by_node = nodes.set_index("node").to_dict("index")
+        for row in x:
+            at = by_node[0]
+            while at["feature"] >= 0:
+                at = by_node[at["right" if row[at["feature"]] > at["threshold"] else "left"]]
+            out.append(at["depth"] + float(average_path(at["n"])))
+    return np.reshape(out, (forest.trees, len(x)))
+
+
+@pytest.mark.parametrize("features, ties", [(1, False), (3, False), (9, True), (64, False)])
+def test_bit_vectors_equal_a_walk(features, ties):
+    rng = np.random.default_rng(features)
+    x = rng.normal(size=(2000, features))
+    if ties:
+        x = np.round(x)
+        x[:, 4] = 1.0
+    rows = [(t, *r) for t in range(6) for r in _grow(x[rng.choice(2000, 256, replace=False)], rng, 8)]
+    nodes = pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "depth", "n"]).astype({"threshold": float})
+    forest = Forest(nodes.sample(frac=1, random_state=1), 256, 6, 0)
+    masks = leaf_masks(forest, features)
+    # Rows on a threshold, beyond all of them, and without a value.
+    edges = np.tile(nodes["threshold"].dropna().to_numpy()[:60, None], features)
+    probe = np.vstack([x[:200], edges, np.full((1, features), np.inf), np.full((1, features), -np.inf), np.full((1, features), np.nan)])
+    assert np.array_equal(path_lengths(masks, probe), walked(forest, probe))
+    many = np.tile(probe, (CHUNK // len(probe) + 2, 1))
+    assert np.array_equal(path_lengths(masks, many)[:, -len(probe):], path_lengths(masks, probe))
+    assert path_lengths(masks, probe[:0]).shape == (6, 0)
 
 
 def test_node_table_matches_its_samples(spark):
