@@ -68,7 +68,18 @@ def _take(spark: SparkSession, parts: str, folder: str, name: str) -> None:
     files = source.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(folder))
     for i, part in enumerate(files.globStatus(source)):
-        files.rename(part.getPath(), path(f"{folder}/{name}-{i}.csv"))
+        files.rename(part.getPath(), path(f"{folder}/{name}-{i:05d}.csv"))
+
+
+def write_delivery(spark: SparkSession, sf_dir: str, delivery: str, folder: str) -> str:
+    """One delivery ("a" or "b") of the raw log as CSV files, cut and named in the order of its rows."""
+    rows = raw_log(spark, sf_dir).where(F.col("_source_file") == f"{delivery}.csv").orderBy("_row_id")
+    parts = f"{folder}-parts"
+    rows.select(*[F.col(c).alias(h) for c, h in zip(LOG_COLUMNS, RAW_HEADER)]).write.option("header", True).option("escape", '"').option(
+        "emptyValue", ""
+    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(parts)
+    _take(spark, parts, folder, delivery)
+    return folder
 
 
 def write_mixed_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:

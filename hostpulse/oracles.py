@@ -304,3 +304,8 @@ scores as (select host, window_start, anomaly_score_if from with_score),
 swept as ({" union all ".join(_swept(c) for c in SWEEP)})
 select round(contamination, 6) as contamination, n_if, round(n_if / n * 100, 6) as if_pct, n_svm, round(n_svm / n * 100, 6) as svm_pct, n_union,
     round(n_union / n * 100, 6) as union_pct, n_intersection from swept"""
+ORACLES["heavy_resources"] = f"with {CLEAN} select resource, count(*) as n from clean group by resource order by n desc, resource nulls last limit 10"
+ORACLES["heavy_stamps"] = f"""with {CLEAN} select concat_ws(' ', user_agent, strftime(ts, '%Y-%m-%d %H:%M:%S')) as pair, count(*) as n
+    from clean group by pair order by n desc, pair limit 10"""
+ORACLES["incremental_clean"] = ORACLES["clean_log"]
+ORACLES["incremental_features"] = ORACLES["features_1d"]

@@ -153,7 +153,9 @@ def update(spark: SparkSession, raw_folder: str, folder: str, window_seconds: in
     write_table(files.select("path", "file", "length", "lines", "reason"), files_path)
     next_state = State(version, window_seconds, [*state.files, files_path], list(state.filters), dict(state.days))
     if not files.where("reason is null").isEmpty():
-        typed = keep_first(drop_invalid(type_columns(parse_lines(lines, files))), DEDUP_KEYS, FILE_ORDER)
+        # Written first: parsing lines and typing columns in one stage is more than generated code can hold.
+        raw = materialise(parse_lines(lines, files), "new-lines")
+        typed = keep_first(drop_invalid(type_columns(raw)), DEDUP_KEYS, FILE_ORDER)
         new = materialise(typed.withColumns({"_key": F.xxhash64(*DEDUP_KEYS), "_day": _day()}), "new-rows")
         counts = {r["_day"]: r["count"] for r in new.groupBy("_day").count().collect()}
         _merge(spark, folder, stem, new, counts, state, next_state)

@@ -11,13 +11,14 @@ from hostpulse.config import FEATURES, LOG_COLUMNS, SWEEP, WINDOW_SECONDS
 from hostpulse.operators.cleaning import clean, type_columns
 from hostpulse.operators.dbscan import dbscan_clusters, dbscan_noise
 from hostpulse.operators.forest import add_scores, fit_forest
+from hostpulse.operators.heavy import top_k
 from hostpulse.operators.labels import label_if, union_vs_intersection
 from hostpulse.operators.ocsvm import Model as SvmModel, below, certificate, with_offsets
 from hostpulse.operators.quantiles import quantiles
 from hostpulse.operators.scaling import moments, scaler_table, standardise
 from hostpulse.operators.threats import classify, normal_percentiles, thresholds
 from hostpulse.operators.windows import build_features
-from hostpulse.plans import eda, report, stages
+from hostpulse.plans import eda, incremental, report, stages
 from hostpulse.plans.scoring import KEYS, Z, Scoring, fit_and_score, fit_svms, score_with, sensitivity
 from hostpulse.session import materialise, scratch_path
 from hostpulse.sources.csv_logs import detect_dialects, read_log_folder, rejected_files
@@ -232,6 +233,34 @@ def full_run(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, f"{out}/scored")
 
 
+def _grown_state(spark: SparkSession, sf: str) -> str:
+    """Two incremental runs: the second delivery comes first, so the later run replaces rows of every day."""
+    out = scratch_path(spark, "state")
+    for delivery in ("b", "a"):
+        incremental.update(spark, adapters.write_delivery(spark, sf, delivery, scratch_path(spark, f"csv-{delivery}")), out, DAY)
+    return out
+
+
+def incremental_clean(spark: SparkSession, sf: str) -> DataFrame:
+    rows = incremental.cleaned(spark, _grown_state(spark, sf))
+    return rows.withColumn("_source_file", F.regexp_replace("_source_file", "-[0-9]+", ""))
+
+
+def incremental_features(spark: SparkSession, sf: str) -> DataFrame:
+    return incremental.features(spark, _grown_state(spark, sf)).select("host", "window_start", *FEATURES)
+
+
+def heavy_resources(spark: SparkSession, sf: str) -> DataFrame:
+    """The most frequent resources by summaries and an exact recount."""
+    return top_k(materialise(_clean(spark, sf).select("resource"), "resources"), "resource", 10)
+
+
+def heavy_stamps(spark: SparkSession, sf: str) -> DataFrame:
+    """The most frequent pairs of agent and second, of which there are about as many as requests."""
+    pair = F.concat_ws(" ", "user_agent", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("pair")
+    return top_k(materialise(_clean(spark, sf).select(pair), "pairs"), "pair", 10, counters=1000)
+
+
 def over(table: Callable[[SparkSession, str], DataFrame], query: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: rounded(query(table(spark, sf)))
 
@@ -256,6 +285,11 @@ QUERIES: dict[str, Query] = {
     "eda_top_user_agents": over(_clean, eda.top_user_agents),
     "eda_top_resources": over(_clean, eda.top_resources),
     "eda_hourly_load": over(_clean, eda.hourly_load),
+    "heavy_resources": heavy_resources,
+    "heavy_stamps": heavy_stamps,
+    # runs that read new files only
+    "incremental_clean": incremental_clean,
+    "incremental_features": lambda s, d: rounded(incremental_features(s, d)),
     # features
     "features_60s": over(lambda s, d: _features(s, d, 60), _same),
     "features_1h": over(lambda s, d: _features(s, d, 3600), _same),
