@@ -309,3 +309,5 @@ ORACLES["heavy_stamps"] = f"""with {CLEAN} select concat_ws(' ', user_agent, str
     from clean group by pair order by n desc, pair limit 10"""
 ORACLES["incremental_clean"] = ORACLES["clean_log"]
 ORACLES["incremental_features"] = ORACLES["features_1d"]
+ORACLES["distinct_roll_up"] = f"""with {CLEAN} select strftime(ts, '%Y-%m-%d') as day, count(*) as requests,
+    count(distinct resource) + max(case when resource is null then 1 else 0 end) as resources, true as near from clean group by 1"""

@@ -15,6 +15,7 @@ from hostpulse.operators.heavy import top_k
 from hostpulse.operators.labels import label_if, union_vs_intersection
 from hostpulse.operators.ocsvm import Model as SvmModel, below, certificate, with_offsets
 from hostpulse.operators.quantiles import quantiles
+from hostpulse.operators.rollups import RELATIVE_ERROR, hourly, roll_up
 from hostpulse.operators.scaling import moments, scaler_table, standardise
 from hostpulse.operators.threats import classify, normal_percentiles, thresholds
 from hostpulse.operators.windows import build_features
@@ -261,6 +262,18 @@ def heavy_stamps(spark: SparkSession, sf: str) -> DataFrame:
     return top_k(materialise(_clean(spark, sf).select(pair), "pairs"), "pair", 10, counters=1000)
 
 
+def distinct_roll_up(spark: SparkSession, sf: str) -> DataFrame:
+    """Per day requests and exact distinct resources, and whether the merged hourly sketches are within four deviations."""
+    cleaned = materialise(_clean(spark, sf).select("host", "ts", "resource"), "resources")
+    day = F.to_date("hour").cast("string").alias("day")
+    exact = cleaned.groupBy(F.to_date("ts").cast("string").alias("day")).agg(
+        (F.count_distinct("resource") + F.max(F.col("resource").isNull().cast("int"))).alias("resources")
+    )
+    both = roll_up(hourly(cleaned, ["resource"]), [day], ["resource"]).join(exact, "day")
+    near = F.abs(F.col("resource_distinct") - F.col("resources")) <= 4 * RELATIVE_ERROR * F.col("resources")
+    return both.select("day", "requests", "resources", near.alias("near"))
+
+
 def over(table: Callable[[SparkSession, str], DataFrame], query: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: rounded(query(table(spark, sf)))
 
@@ -287,6 +300,7 @@ QUERIES: dict[str, Query] = {
     "eda_hourly_load": over(_clean, eda.hourly_load),
     "heavy_resources": heavy_resources,
     "heavy_stamps": heavy_stamps,
+    "distinct_roll_up": distinct_roll_up,
     # runs that read new files only
     "incremental_clean": incremental_clean,
     "incremental_features": lambda s, d: rounded(incremental_features(s, d)),
