@@ -28,6 +28,8 @@ from hostpulse.sources.tables import read_table, write_table
 DAY_SECONDS = 86_400
 #: Parts of a day after which its next change writes it anew as one part.
 MOST_PARTS = 8
+#: Possibly known keys up to which they are broadcast to the new rows.
+BROADCAST_KEYS = 200_000
 
 
 @dataclass
@@ -116,17 +118,23 @@ def _compared(spark: SparkSession, new: DataFrame, counts: dict[str, int], state
     old = {d: state.days[d] for d in counts if d in state.days}
     if not old:
         return new.withColumn("_replaces", F.lit(False))
+    # Every key that is asked carries its part, so parts go by number instead of by path.
+    named = [(d, p["path"], p["bits"]) for d, of in old.items() for p in of["parts"]]
     parts = spark.createDataFrame(
-        [(d, p["path"], p["bits"], 1 + counts[d] // (KEYS_PER_BUCKET << p["bits"])) for d, of in old.items() for p in of["parts"]],
+        [(d, str(i), bits, 1 + counts[d] // (KEYS_PER_BUCKET << bits)) for i, (d, _, bits) in enumerate(named)],
         "_day string, part string, bits int, split int",
     )
+    paths = spark.createDataFrame([(path, str(i)) for i, (_, path, _) in enumerate(named)], "path string, part string")
     asked = new.join(F.broadcast(parts), "_day").select("part", "bits", "split", F.col("_key").alias("key"))
-    made = spark.read.parquet(*state.filters).join(F.broadcast(parts.select("part")), "part", "left_semi")
+    made = spark.read.parquet(*state.filters).withColumnRenamed("part", "path")
+    made = made.join(F.broadcast(paths), "path").select("part", "bucket", "bits")
     known = materialise(possibly_known(asked, made).select(F.col("key").alias("_key")), "possibly-known")
+    # By a counted number of keys, as files of keys and rows are small for what they hold.
+    known = F.broadcast(known) if known.count() <= BROADCAST_KEYS else known.hint("merge")
     maybe = new.join(known, "_key", "left_semi").select(new.columns)
     fresh = new.join(known, "_key", "left_anti").select(new.columns)
     # The older rows of the touched days meet the few rows that may be copies, by hash and then by key.
-    twins = maybe.alias("n").join(_rows(spark, old, new).alias("o"), _same_key("n", "o"), "left")
+    twins = maybe.alias("n").join(_rows(spark, old, new).hint("merge").alias("o"), _same_key("n", "o"), "left")
     kept = twins.where(F.col("o._key").isNull() | (_order("n") < _order("o")))
     return fresh.withColumn("_replaces", F.lit(False)).unionByName(
         kept.select("n.*", F.col("o._key").isNotNull().alias("_replaces"))
@@ -184,9 +192,12 @@ def _merge(spark: SparkSession, folder: str, stem: str, new: DataFrame, counts:
     for d in changes:
         earlier = [] if d in anew or d not in state.days else state.days[d]["parts"]
         result.days[d] = {"parts": [*earlier, {"path": part[d], "bits": bucket_bits(rows[d])}], "features": f"{folder}/features/{stem}/_day={d}"}
-    table = spark.createDataFrame([(d, part[d], bucket_bits(rows[d])) for d in changes], "_day string, part string, bits int")
+    table = F.broadcast(spark.createDataFrame([(d, part[d], bucket_bits(rows[d])) for d in changes], "_day string, path string, wide int"))
     filters_path = f"{folder}/filters/{stem}"
-    write_table(filters(made.join(F.broadcast(table), "_day").select("part", "bits", F.col("_key").alias("key"))), filters_path)
+    # Keys go to their filters by day; the path of a day's part is entered afterwards.
+    keys = made.join(table.drop("path"), "_day").select(F.col("_day").alias("part"), F.col("wide").alias("bits"), F.col("_key").alias("key"))
+    by_day = filters(keys).join(table, F.col("part") == F.col("_day"))
+    write_table(by_day.select(F.col("path").alias("part"), "bucket", "bits"), filters_path)
     result.filters.append(filters_path)
     changed = _rows(spark, {d: result.days[d] for d in changes}, new)
     features = build_features(changed, result.window_seconds).withColumn("_day", F.date_format("window_start", "yyyy-MM-dd"))
