@@ -130,3 +130,27 @@ def test_filters_miss_no_known_key(spark, split):
 def test_bucket_bits():
     assert [bucket_bits(n) for n in (0, 1, KEYS_PER_BUCKET, KEYS_PER_BUCKET + 1, 2 * KEYS_PER_BUCKET + 1, 10**9)] == [0, 0, 0, 1, 2, 15]
     assert np.ceil(10**9 / 2**15) <= KEYS_PER_BUCKET
+
+
+def test_keys_carry_numbers_and_many_known_keys_are_shuffled(spark, tmp_path, monkeypatch):
+    """Rows on their way to the filters name their part briefly; above the limit nothing known is broadcast, with the same rows."""
+    monkeypatch.setattr(incremental, "BROADCAST_KEYS", 0)
+    carried, ask, build = [], incremental.possibly_known, incremental.filters
+
+    def asked(keys, made):
+        carried.extend(r.part for r in keys.select("part").distinct().collect())
+        return ask(keys, made)
+
+    def built(keys):
+        carried.extend(r.part for r in keys.select("part").distinct().collect())
+        return build(keys)
+
+    monkeypatch.setattr(incremental, "possibly_known", asked)
+    monkeypatch.setattr(incremental, "filters", built)
+    out, one, two = str(tmp_path / "state"), tmp_path / "one", tmp_path / "two"
+    write(one, "m.csv", [line(d, m, f"h{m % 3}", m) for d in (1, 2) for m in range(6)])
+    write(two, "a.csv", [line(2, m, f"h{m % 3}", 50 + m) for m in range(4)] + [line(1, 30, "new", 1)])
+    incremental.update(spark, str(one), out, 3600)
+    incremental.update(spark, str(two), out, 3600)
+    assert carried and max(map(len, carried)) <= 10
+    check(spark, out, [one, two])
