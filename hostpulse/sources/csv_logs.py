@@ -5,14 +5,20 @@ kind of text, separator), so that the next step reads numbers only. One row per
 read whole; rows are parsed by joining the lines with that table. No list of files is gathered in a task or on the driver.
 
 Records that hold quoted line breaks are put together by parity: a line begins inside quotes if the number of quotes before it in
-its file is odd. Each split sums its own quotes, splits take the parity of those before them from the sums, and only the lines of
-such records are gathered, by the line on which their record starts, wherever the splits were cut.
+its file is odd. Each run of lines sums its own quotes, runs take the parity of those before them from the sums, and put their records
+together on their own. Only what a border cuts is gathered, by the line on which its record starts, wherever the splits were cut.
 """
 
 from __future__ import annotations
 
+import itertools
+import re
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from hostpulse.config import LOG_COLUMNS, SEPARATORS
@@ -26,6 +32,8 @@ FILE_ORDER = ["_source_file", "_block_start", "_row_id"]
 _SCHEMA = ", ".join(f"{c} string" for c in LOG_COLUMNS)
 #: Files up to which the table of dialects is broadcast to the lines (about 100 bytes a file).
 BROADCAST_FILES = 500_000
+#: Lines of a run, as a power of two: the row numbers of a split are cut into stretches of so many.
+RUN_BITS = 15
 ASCII, UTF8, OTHER = 0, 1, 2
 BOM_BYTES = 3
 
@@ -152,51 +160,117 @@ def _text() -> Column:
 _RECORD = ["file", "code", "block", "row", "text"]
 
 
-def _stitched(lines: DataFrame) -> DataFrame:
-    """Records of files with quoted line breaks, put together over line and split borders.
+def _runs(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """Runs of neighbouring lines of one split, with their file's columns and whether they begin inside quotes.
 
-    A split's lines are one group, as large as a split; a record's lines are gathered only if it has several.
+    Row numbers rise through a split, so a run is a stretch of them. `run` is its first row, which no other run has.
     """
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    parity = (
-        lines.groupBy("path", "block").agg(F.sum("odd").alias("odds"))
-        .select("path", "block", (F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2).alias("parity"))
+    runs = lines.join(files.select("path"), "path", "left_semi").groupBy("path", "block", "stretch").agg(
+        F.min("row").alias("run"), F.sum("odd").alias("odds")
     )
-    inside = Window.partitionBy("path", "block").orderBy("row")
-    odd_before = F.coalesce(F.sum("odd").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    marked = lines.join(parity, ["path", "block"]).withColumn("quoted", (F.col("parity") + odd_before) % 2 == 1)
-    start = F.max(F.when(~F.col("quoted"), F.col("row"))).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    marked = materialise(marked.withColumn("start", start).drop("parity"), "quoted-lines")
-    # Lines before a split's first record belong to the last record that an earlier split starts.
-    last = F.last(F.when(F.col("start").isNotNull(), F.struct("block", "start")), ignorenulls=True).over(earlier)
-    carried = marked.groupBy("path", "block").agg(F.max("start").alias("start")).select("path", "block", last.alias("carried"))
-    whole = F.col("own_code").isNotNull() & ~F.col("quoted") & (F.col("odd") == 0)
-    single = marked.where(whole).withColumn("text", _text())
-    several = marked.where(F.col("quoted") | (F.col("odd") == 1)).join(carried, ["path", "block"]).withColumns({
-        "start_block": F.when(F.col("start").isNotNull(), F.col("block")).otherwise(F.col("carried.block")),
-        "start": F.coalesce("start", "carried.start"), "text": _text(),
-    })
-    joined = several.groupBy("path", "start_block", "start").agg(
+    earlier = Window.partitionBy("path").orderBy("block", "run").rowsBetween(Window.unboundedPreceding, -1)
+    inside = (F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2 == 1).alias("inside")
+    return materialise(runs.select("path", "block", "stretch", "run", inside).join(files, "path"), "quoted-runs")
+
+
+def _pieces_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of lines in the order of their rows, each run's lines together: (run, row, start, part, value).
+
+    What a batch or a run cuts comes out in parts, so nothing is held from one batch to the next but the start of the open record.
+    A part that begins inside quotes with its run does not know its start.
+    """
+    run, inside, start = None, False, None
+    for batch in batches:
+        runs, rows, odd, filled, begins = (
+            batch.column(c).to_numpy(zero_copy_only=False) for c in ("run", "row", "odd", "filled", "inside")
+        )
+        borders = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(runs)]
+        for first, end in itertools.pairwise(borders):
+            if first == end:
+                continue
+            if runs[first] != run:
+                run, inside, start = runs[first], bool(begins[first]), None
+            odds = odd[first:end].astype(np.int64)
+            quoted = (inside + np.cumsum(odds) - odds) % 2 == 1
+            kept = np.flatnonzero(filled[first:end] | quoted | (odds == 1))
+            inside = bool((inside + odds.sum()) % 2)
+            if not len(kept):
+                continue
+            row, opens = rows[first:end][kept], ~quoted[kept]
+            heads = np.flatnonzero(opens | (np.arange(len(kept)) == 0))
+            starts = pa.array(row[heads], pa.int64())
+            part = np.zeros(len(heads), dtype=bool)
+            if not opens[0]:
+                part[0] = True
+                starts = pa.concat_arrays([pa.array([start], pa.int64()), starts[1:]])
+            part[-1] |= inside
+            start = starts[-1].as_py()
+            values = batch.column("value").slice(first, end - first).take(pa.array(kept))
+            lists = pa.ListArray.from_arrays(pa.array([*heads.tolist(), len(kept)], pa.int32()), values)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(heads), run), pa.int64()), pa.array(row[heads], pa.int64()), starts, pa.array(part),
+                 pc.binary_join(lists, pa.scalar(b"\n", values.type))],
+                names=["run", "row", "start", "part", "value"],
+            )
+
+
+def _stitched(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """Records of files with quoted line breaks, put together over line, batch and split borders.
+
+    Lines are dealt out by runs of bounded length and put in order by their row number alone; a run's own records need no further
+    shuffle. Only records that a border cuts, at most one at each, are gathered by the line on which they start.
+    """
+    lines = lines.withColumn("stretch", F.shiftright("row", RUN_BITS))
+    runs = _runs(lines, files)
+    few = runs.count() <= BROADCAST_FILES
+
+    def of(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+        some = runs.select(*keys, *[c for c in columns if c not in keys])
+        return rows.join(F.broadcast(some) if few else some, keys)
+
+    placed = of(lines, ["path", "block", "stretch"], ["run", "inside"]).select(
+        "run", "row", "odd", F.col("own_code").isNotNull().alias("filled"), "inside", "value"
+    )
+    pieces = placed.repartition("run").sortWithinPartitions("row").mapInArrow(
+        _pieces_of_runs, "run long, row long, start long, part boolean, value binary"
+    )
+    pieces = materialise(pieces, "quoted-records")
+    whole = of(pieces.where("not part"), ["run"], ["file", "code", "encoding", "block", "head_block", "head_row"])
+    parts = of(pieces.where("part"), ["run"], ["path", "file", "code", "encoding", "block", "head_block", "head_row"])
+    # A part without a start belongs to the last record that an earlier part of its file starts.
+    so_far = Window.partitionBy("path").orderBy("block", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.when(F.col("start").isNotNull(), F.struct("block", "start"))
+    owners = parts.select("path", "block", "row", "start").select("row", F.last(own, ignorenulls=True).over(so_far).alias("owner"))
+    joined = parts.drop("start").withColumn("text", _text()).join(owners, "row").groupBy("path", "owner").agg(
         F.any_value("file").alias("file"), F.any_value("code").alias("code"), F.any_value("head_block").alias("head_block"),
         F.any_value("head_row").alias("head_row"), F.array_sort(F.collect_list(F.struct("block", "row", "text"))).alias("parts"),
     ).select(
-        "file", "code", "head_block", "head_row", F.col("start_block").alias("block"), F.col("start").alias("row"),
+        "file", "code", "head_block", "head_row", F.col("owner.block").alias("block"), F.col("owner.start").alias("row"),
         F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text"),
     )
     columns = [*_RECORD, "head_block", "head_row"]
-    return single.select(columns).unionByName(joined.select(columns))
+    return whole.withColumn("text", _text()).select(columns).unionByName(joined.select(columns))
 
 
 def _parsed(records: DataFrame) -> DataFrame:
-    """Fields of each record by its file's separator; short records are filled with NULL, long ones cut."""
+    """Fields of each record by its file's separator; short records are filled with NULL, long ones cut.
+
+    A record without a quote that has all its fields is only cut at its separators; the others go through the CSV parser.
+    """
     # Without multiLine, line ends inside quotes would be rewritten. The carriage return of a record's end is not part of it.
     options = {"mode": "PERMISSIVE", "quote": '"', "escape": '"', "multiLine": "true"}
-    record = F.rtrim("text", F.lit("\r"))
-    fields = reduce(
-        lambda rest, i: F.when(F.col("code") == i, F.from_csv(record, _SCHEMA, {**options, "sep": SEPARATORS[i]})).otherwise(rest),
-        range(len(SEPARATORS)), F.lit(None).cast(f"struct<{_SCHEMA.replace(' string', ':string')}>"),
-    )
-    return records.withColumn("fields", fields).select(
+    record, cuts = F.col("record"), F.col("cuts")
+
+    def by_separator(made: Callable[[str], Column]) -> Column:
+        return reduce(lambda rest, i: F.when(F.col("code") == i, made(SEPARATORS[i])).otherwise(rest), range(len(SEPARATORS)), F.lit(None))
+
+    plain = ~(F.contains(record, F.lit('"')) | F.contains(record, F.lit("\r")) | F.startswith(record, F.lit("\0")))
+    as_cut = F.struct(*[F.nullif(cuts[i], F.lit("")).alias(c) for i, c in enumerate(LOG_COLUMNS)])
+    read = by_separator(lambda s: F.from_csv(record, _SCHEMA, {**options, "sep": s}))
+    # Trimming walks the whole text, so only those that end so are trimmed.
+    ended = F.when(F.endswith("text", F.lit("\r")), F.rtrim("text", F.lit("\r"))).otherwise(F.col("text"))
+    cut = records.withColumn("record", ended).withColumn("cuts", F.when(plain, by_separator(lambda s: F.split(record, re.escape(s)))))
+    return cut.withColumn("fields", F.when(F.size(cuts) == len(LOG_COLUMNS), as_cut).otherwise(read)).select(
         *[F.col(f"fields.{c}").alias(c) for c in LOG_COLUMNS],
         F.col("file").alias("_source_file"), F.col("block").alias("_block_start"), F.col("row").alias("_row_id"),
     )
@@ -230,10 +304,9 @@ def parse_lines(lines: DataFrame, files: DataFrame, folder: str = "the folder")
 
     lines = lines.select("path", "block", "row", "value", "odd", F.col("code").alias("own_code"))
     calm = of(used.where("not multi_line"), lines).where("own_code is not null").withColumn("text", _text())
-    quoted = of(used.where("multi_line"), lines)
     columns = [*_RECORD, "head_block", "head_row"]
     records = calm.select(columns)
     if not used.where("multi_line").isEmpty():
-        records = records.unionByName(_stitched(quoted))
+        records = records.unionByName(_stitched(lines, used.where("multi_line")))
     header = (F.col("block") == F.col("head_block")) & (F.col("row") == F.col("head_row"))
     return _parsed(records.where(~header).select(*_RECORD))

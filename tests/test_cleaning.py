@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hostpulse.config import TIME_FORMATS
 from hostpulse.config import BOT_MARKERS, LOG_COLUMNS
-from hostpulse.functions.text import WHITE_SPACE, contains_any, lenient_int, parse_time, strip
+from hostpulse.functions.text import MONTHS, WHITE_SPACE, _full_width, contains_any, lenient_int, parse_time, strip
 from hostpulse.operators.cleaning import clean, drop_invalid, keep_first, type_columns
 
 ORDER = ["_source_file", "_row_id"]
@@ -119,3 +119,21 @@ def test_times_keep_their_clock_in_any_session_zone_and_width(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert found == [datetime(2018, 3, 25, 2, 30), datetime(2018, 2, 5, 6, 25, 5), datetime(2018, 10, 28, 2, 30)]
+
+
+def test_full_width_times_equal_the_format(spark):
+    """Texts that are cut by position give what the format gives, and the rest is left to the format."""
+    usual = [f"{d:02d}/{m}/{y} {h}" for d in (1, 28, 29, 30, 31) for m in MONTHS for y in (1000, 1582, 1900, 2023, 2024, 9999) for h in ("00:00:00", "23:59:59")]
+    odd = [
+        "1/Jan/2024 1:2:3", "01/jan/2024 00:00:00", "01/JAN/2024 00:00:00", "01/Jan/0024 00:00:00", "01/Jan/0000 00:00:00", "00/Jan/2024 00:00:00",
+        "01/Jan/2024 24:00:00", "01/Jan/2024 23:59:60", "01/Jan/2024 23:60:00", "01/Jan/2024 12:30:5Z", "01/Jan/2024 12:30:+5", "01/Jan/2024 12:30:.5",
+        "01/Jan/2024 12:3 :05", "1 /Jan/2024 12:30:05", " 1/Jan/2024 12:30:05", "01/Jan/2024 1 :30:05", "01/Jan/2024T12:30:05", "01/Jan/+024 12:30:05",
+        "01/Jan/-024 12:30:05", "-1/Jan/2024 12:30:05", "01/Jan/2024 -1:30:05", "01/Jan/2024 1::30:05", "01/Jan/2024 12:30:05 ", "\t01/Jan/2024 12:30:05",
+        "01/Jan/2024  2:30:05", "01/anF/2024 12:30:05", "01-Jan-2024 12:30:05", "01/Jän/2024 12:30:5", "٠١/Jan/2024 12:30:05", "32/Foo/2024 00:00:00", "", "-", None,
+    ]
+    rows = spark.createDataFrame([(t,) for t in usual + odd], "t string")
+    slow = F.try_to_timestamp(F.concat(strip("t"), F.lit(" +0000")), F.lit("d/MMM/yyyy H:m:s Z"))
+    want = F.timestamp_add("MICROSECOND", F.unix_micros(slow), F.lit("1970-01-01").cast("timestamp_ntz"))
+    wrong = rows.select("t", parse_time("t", TIME_FORMATS).alias("got"), want.alias("want"), _full_width(F.col("t")).alias("cut"))
+    assert wrong.where("not got <=> want").collect() == []
+    assert wrong.where("cut is not null").count() > 600 and wrong.where("want is null").count() > 20

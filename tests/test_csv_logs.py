@@ -1,7 +1,10 @@
 import pytest
+from pyspark.sql import functions as F
 
 from hostpulse.config import LOG_COLUMNS, RAW_HEADER
 from hostpulse.operators.cleaning import clean
+from hostpulse.session import materialise
+from hostpulse.sources import csv_logs
 from hostpulse.sources.csv_logs import FILE_ORDER, detect_dialects, read_log_folder, rejected_files, scan_files, scan_lines
 
 ROW = ["1.1.1.1", "05/Feb/2018 06:25:05", "GET", "/", "HTTP/1.1", "200", "7", "-", "Mozilla"]
@@ -160,3 +163,47 @@ def test_encodings_by_likelihood(spark, tmp_path):
     assert found == {name: encoding for name, (_, _, encoding) in cases.items()}
     rows = {(r.host, r.resource) for r in read_log_folder(spark, str(tmp_path)).collect()}
     assert rows == {(name, words) for name, (words, _, _) in cases.items()}
+
+
+def test_records_cut_by_runs_and_batches_are_whole_and_the_others_are_not_gathered(spark, tmp_path, monkeypatch):
+    rows = [with_(host=f"h{i}", user_agent='"' + "\n\n x\n" * (i % 9) + f'end {i}"', referrer="-" if i % 4 else '"a\nb"') for i in range(300)]
+    (tmp_path / "big.csv").write_text(text(";", *rows), newline="")
+    (tmp_path / "cp.csv").write_bytes(text("|", *[with_(host=f"p{i}", user_agent='"żółw\nźrebię"') for i in range(40)]).encode("cp1250"))
+    read = []
+    for bits, batch, split in ((15, 10_000, 2**27), (3, 5, 2**27), (4, 7, 700)):
+        monkeypatch.setattr(csv_logs, "RUN_BITS", bits)
+        written = {}
+        monkeypatch.setattr(csv_logs, "materialise", lambda df, name, kept=written: kept.setdefault(name, materialise(df, name)))
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            raw = read_log_folder(spark, str(tmp_path))
+            read.append([tuple(r[c] for c in LOG_COLUMNS) for r in raw.orderBy(*FILE_ORDER).collect()])
+            parts = written["quoted-records"].where("part").count()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        # Lines within a run are put together where they are: only what a border cuts is gathered.
+        assert parts == 0 if bits == 15 else 0 < parts
+    reader = spark.read.schema(", ".join(f"{c} string" for c in LOG_COLUMNS)).option("multiLine", True).option("header", True)
+    plain = reader.option("escape", '"').option("sep", ";").csv(str(tmp_path / "big.csv")).collect()
+    assert read[0] == read[1] == read[2] and read[0][:300] == [tuple(r) for r in plain] and len(read[0]) == 340
+    assert {r[-1] for r in read[0][300:]} == {"żółw\nźrebię"}
+
+
+def test_cut_records_equal_parsed_ones(spark):
+    texts = [",".join(ROW), "a,,c, ,e,\t,g,h,", ",,,,,,,,", "a,b", "a,b,c,d,e,f,g,h,i,j,k", 'a,"b,c",d,e,f,g,h,i,j', 'a,b "q",c,d,e,f,g,h,i',
+             "a,b,c,d,e,f,g,h,i\r\r", "a,b\r,c,d,e,f,g,h,i", "\0a,b,c,d,e,f,g,h,i", "é,ü,\\,d|e,f;,#,g,h,i", " a , b ,c,d,e,f,g,h, i "]
+    for code, separator in enumerate(csv_logs.SEPARATORS):
+        records = spark.createDataFrame(
+            [("f", code, 0, i, t.replace("\t", "~").replace(separator, "~").replace(",", separator)) for i, t in enumerate(texts)],
+            "file string, code int, block long, row long, text string",
+        )
+        schema = ", ".join(f"{c} string" for c in LOG_COLUMNS)
+        options = {"mode": "PERMISSIVE", "quote": '"', "escape": '"', "multiLine": "true", "sep": separator}
+        want = records.select("row", F.from_csv(F.rtrim("text", F.lit("\r")), schema, options).alias("x")).select("row", "x.*")
+        parsed = csv_logs._parsed(records)
+        assert [tuple(r) for r in parsed.select("_row_id", *LOG_COLUMNS).orderBy("_row_id").collect()] == [
+            tuple(r) for r in want.orderBy("row").collect()
+        ]
+        assert "split(" in parsed._jdf.queryExecution().toString()
